@@ -10,6 +10,7 @@ dates and so on) is spread over the rows by key arithmetic.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,10 @@ from pyspark.sql import functions as F
 
 from fichario import constants as K
 from fichario.operators.clean import clean_rows
+from fichario.operators.views import Tables, complete_companies, prospect_candidates
+from fichario.plans.enrich import analyze_pages
 from fichario.schemas import DATASETS
+from fichario.session import new_folder
 
 COMPETENCE = "2026-07"
 YEAR = 2024
@@ -357,8 +361,15 @@ TABLES = (
 ).split()
 
 
+_SAVED: dict[tuple[str, str, str], str] = {}
+
+
 class Inputs:
-    """Lazy registry-shaped DataFrames over one folder of the given tables."""
+    """Registry-shaped DataFrames over one folder of the given tables.
+
+    Derived tables are saved once per session under the shared folder, as a load job would, and
+    read back: queries then start from stored columns with known sizes.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -367,31 +378,43 @@ class Inputs:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def raw(self, name: str) -> DataFrame:
+        """One of the shared projections, as it is."""
         sql = RAW[name]
         used = {t: self.table(t) for t in TABLES if "{" + t + "}" in sql}
         return self.spark.sql(sql, **used)
 
+    def saved(
+        self, name: str, build: Callable[[], DataFrame], spread: str | None = None
+    ) -> DataFrame:
+        """``spread`` saves one file per core, by that key: tables that heavy work reads must not
+        inherit the few files of a small source."""
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _SAVED:
+            rows, path = build(), new_folder(self.spark, name)
+            if spread:
+                rows = rows.repartition(self.spark.sparkContext.defaultParallelism, spread)
+            rows.write.parquet(path)
+            _SAVED[key] = path
+        return self.spark.read.parquet(_SAVED[key])
+
+    def stored(self, name: str, spread: str | None = None) -> DataFrame:
+        """One of the shared projections, saved."""
+        return self.saved(name, lambda: self.raw(name), spread)
+
     def typed(self, name: str, kind: str) -> DataFrame:
-        rows = clean_rows(self.raw(name), kind, COMPETENCE)
-        if DATASETS[kind].is_lookup:
-            return rows
-        return rows.withColumn("updated_at", self.now)
+        def build() -> DataFrame:
+            rows = clean_rows(self.raw(name), kind, COMPETENCE)
+            return rows if DATASETS[kind].is_lookup else rows.withColumn("updated_at", self.now)
+
+        return self.saved(f"typed_{name}", build)
 
     @property
     def now(self):
         return F.lit(NOW).cast("timestamp")
 
     @cached_property
-    def registry(self) -> dict[str, DataFrame]:
-        return {
-            "empresas": self.typed("raw_empresas", "Empresas"),
-            "estabelecimentos": self.typed("raw_estabelecimentos", "Estabelecimentos"),
-            "socios": self.typed("raw_socios", "Socios"),
-            "simples": self.typed("raw_simples", "Simples"),
-            "cnaes": self.typed("raw_cnaes", "Cnaes"),
-            "municipios": self.typed("raw_municipios", "Municipios"),
-            "naturezas_juridicas": self.typed("raw_naturezas", "Naturezas"),
-        }
+    def registry(self) -> Tables:
+        return Registry(self)
 
     @cached_property
     def population(self) -> DataFrame:
@@ -400,14 +423,16 @@ class Inputs:
     @cached_property
     def state(self) -> DataFrame:
         """Stored enrichment state with typed time stamps and reason lists."""
-        rows = self.raw("state")
+        return self.saved("typed_state", self._state)
+
+    def _state(self) -> DataFrame:
         reasons = F.when(F.col("reasons_text") == "", F.array().cast("array<string>")).otherwise(
             F.split("reasons_text", r"\|")
         )
         times = (
             "next_retry_at", "processing_started_at", "google_places_checked_at", "enriched_at",
         )
-        return rows.withColumns(
+        return self.raw("state").withColumns(
             {
                 "site_validation_reasons": reasons,
                 **{t: F.col(t).cast("timestamp") for t in times},
@@ -424,8 +449,54 @@ class Inputs:
     @cached_property
     def site_pages(self) -> DataFrame:
         """Crawled pages; some titles get a word in front."""
-        rows = self.raw("site_pages")
-        html = F.replace(
-            F.col("html_body"), F.lit("<title>"), F.concat(F.lit("<title>"), "title_word")
-        )
-        return rows.withColumn("html", html).drop("html_body", "title_word")
+
+        def build() -> DataFrame:
+            titled = F.replace(
+                F.col("html_body"), F.lit("<title>"), F.concat(F.lit("<title>"), "title_word")
+            )
+            return self.raw("site_pages").withColumn("html", titled).drop("html_body", "title_word")
+
+        return self.saved("site_pages", build, spread="page_id")
+
+    @cached_property
+    def places(self) -> DataFrame:
+        return self.stored("places", spread="cnpj")
+
+    @cached_property
+    def facts(self) -> DataFrame:
+        """Analysed pages, saved because attempts and site roll-ups both read them."""
+        return self.saved("facts", lambda: analyze_pages(self.site_pages))
+
+    @cached_property
+    def complete(self) -> DataFrame:
+        return complete_companies(self.registry)
+
+    @cached_property
+    def candidates(self) -> DataFrame:
+        return self.saved("candidates", lambda: prospect_candidates(self.complete))
+
+
+class Registry(Mapping):
+    """The typed registry tables of an input folder, made when first asked for."""
+
+    SOURCES = {
+        "empresas": ("raw_empresas", "Empresas"),
+        "estabelecimentos": ("raw_estabelecimentos", "Estabelecimentos"),
+        "socios": ("raw_socios", "Socios"),
+        "simples": ("raw_simples", "Simples"),
+        "cnaes": ("raw_cnaes", "Cnaes"),
+        "municipios": ("raw_municipios", "Municipios"),
+        "naturezas_juridicas": ("raw_naturezas", "Naturezas"),
+    }
+
+    def __init__(self, inputs: Inputs):
+        self.inputs = inputs
+
+    def __getitem__(self, table: str) -> DataFrame:
+        return self.inputs.typed(*self.SOURCES[table])
+
+    def __iter__(self):
+        return iter(self.SOURCES)
+
+    def __len__(self):
+        return len(self.SOURCES)

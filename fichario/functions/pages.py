@@ -39,13 +39,11 @@ def hrefs(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(_HREF), F.lit(1))
 
 
-def _whatsapp_link(href: Column) -> Column:
-    """One WhatsApp link as STRUCT(number, normalized)."""
+def _whatsapp_number(href: Column) -> Column:
+    """Number part of one WhatsApp link, as written; NULL when the link carries none."""
     short_link = F.contains(F.lower(urls.authority(href)), F.lit("wa.me"))
     from_path = F.nullif(digits(F.regexp_extract(urls.path(href), "^([^;]*)", 1)), F.lit(""))
-    from_query = urls.query_value(href, "phone", "Phone")
-    number = F.when(short_link, from_path).otherwise(from_query)
-    return F.struct(number.alias("number"), normalize_phone(number).alias("normalized"))
+    return F.when(short_link, from_path).otherwise(urls.query_value(href, "phone", "Phone"))
 
 
 def whatsapp_link(html: Column, base_url: Column) -> Column:
@@ -55,7 +53,10 @@ def whatsapp_link(html: Column, base_url: Column) -> Column:
     """
     absolute = F.transform(hrefs(html), lambda h: urls.resolve_href(h, base_url))
     found = F.filter(absolute, lambda h: contains_any(F.lower(h), K.WHATSAPP_TOKENS))
-    links = F.transform(found, _whatsapp_link)
+    links = F.transform(
+        F.transform(found, _whatsapp_number),
+        lambda n: F.struct(n.alias("number"), normalize_phone(n).alias("normalized")),
+    )
     valid = F.filter(links, lambda link: link["normalized"].isNotNull())
     best = F.get(valid, F.lit(0))
     detected = F.coalesce(F.size(links) > 0, F.lit(False))

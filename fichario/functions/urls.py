@@ -5,11 +5,12 @@ from __future__ import annotations
 import ipaddress
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fichario import constants as K
 
+_STRAY_PERCENT = "%(?![0-9A-Fa-f]{2})"
 _AUTHORITY = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 
 
@@ -47,9 +48,11 @@ def query_value(url: Column, *names: str) -> Column:
         F.nullif(F.regexp_extract(query, f"(?:^|&){name}=([^&]+)", 1), F.lit("")) for name in names
     ]
     value = F.coalesce(*values)
-    for _ in range(2):  # senders encode the number twice at times
-        value = F.coalesce(F.try_url_decode(value), value)
-    return value
+    # Decoded twice, as links are often encoded twice; a plus sign means a space only the first
+    # time, and a stray percent sign stands for itself.
+    once = F.url_decode(F.regexp_replace(value, _STRAY_PERCENT, "%25"))
+    kept_plus = F.replace(once, F.lit("+"), F.lit("%2B"))
+    return F.url_decode(F.regexp_replace(kept_plus, _STRAY_PERCENT, "%25"))
 
 
 def resolve_href(href: Column, base: Column) -> Column:
@@ -73,22 +76,22 @@ def _ipv4_part(text: Column) -> Column:
     )
 
 
-def ipv4_number(host: Column) -> Column:
-    """Host text as an IPv4 number, NULL when it is no IPv4 literal.
+def _ipv4_parts(host: Column) -> Column:
+    """The dot-separated parts of a host as numbers; a part that is no number is NULL."""
+    return F.transform(F.split(host, r"\."), _ipv4_part)
 
-    Accepts the one- to four-part forms network stacks accept: the last part fills what is left.
-    """
-    parts = F.split(host, r"\.")
-    count = F.size(parts)
+
+def ipv4_number(parts: Column) -> Column:
+    """IPv4 number of one to four parts (the last part fills what is left), else NULL."""
     value = F.lit(None).cast("bigint")
     for size in (1, 2, 3, 4):
-        numbers = [_ipv4_part(F.get(parts, F.lit(i))) for i in range(size)]
+        numbers = [F.get(parts, F.lit(i)) for i in range(size)]
         heads = [n * (256 ** (3 - i)) for i, n in enumerate(numbers[:-1])]
         total = reduce(lambda a, b: a + b, heads, numbers[-1])
         in_range = numbers[-1] < 256 ** (5 - size)
         for n in numbers[:-1]:
             in_range = in_range & (n < 256)
-        value = F.when((count == size) & in_range, total).otherwise(value)
+        value = F.when((F.size(parts) == size) & in_range, total).otherwise(value)
     return value
 
 
@@ -114,14 +117,20 @@ def is_blocked_ipv6(host: Column) -> Column:
     )
 
 
-def unsafe_reason(url: Column) -> Column:
-    """Why a URL must not be fetched, NULL when the literal rules find nothing."""
-    host = hostname(url)
-    number = ipv4_number(host)
-    credentials = F.regexp_extract(authority(url), r"^(.*)@", 1)
-    return (
-        F.when(~scheme(url).isin("http", "https"), F.lit("scheme_invalido"))
-        .when(F.coalesce(credentials, F.lit("")).rlike("[^:]"), F.lit("credenciais_na_url"))
+def flag_unsafe(rows: DataFrame, url: str = "url") -> DataFrame:
+    """Adds ``unsafe_reason``: why a URL must not be fetched, NULL when nothing is found.
+
+    Literal rules only (names are not resolved). The steps are columns of their own, so the host
+    is taken apart once per URL.
+    """
+    steps = rows.withColumn("_host", hostname(F.col(url)))
+    steps = steps.withColumn("_parts", _ipv4_parts(F.col("_host")))
+    steps = steps.withColumn("_number", ipv4_number(F.col("_parts")))
+    host, number = F.col("_host"), F.col("_number")
+    credentials = F.regexp_extract(authority(F.col(url)), r"^(.*)@", 1)
+    reason = (
+        F.when(~scheme(F.col(url)).isin("http", "https"), F.lit("scheme_invalido"))
+        .when(credentials.rlike("[^:]"), F.lit("credenciais_na_url"))
         .when(host.isNull(), F.lit("host_ausente"))
         .when(host.isin("localhost", "127.0.0.1", "0.0.0.0"), F.lit("localhost"))
         .when(is_blocked_ipv4(number), F.concat(F.lit("ip_bloqueado:"), ipv4_text(number)))
@@ -130,3 +139,4 @@ def unsafe_reason(url: Column) -> Column:
             F.concat(F.lit("ip_bloqueado:"), host),
         )
     )
+    return steps.withColumn("unsafe_reason", reason).drop("_host", "_parts", "_number")

@@ -52,7 +52,9 @@ def site_candidates(companies: DataFrame) -> DataFrame:
             candidate(from_email, F.concat(F.lit("https://www."), domain, F.lit("/")), by_email),
         )
     )
-    return companies.select("*", F.posexplode(listed).alias("attempt", "_candidate")).select(
+    # The outer form keeps the optimizer from repeating the whole list in a size filter.
+    exploded = companies.select("*", F.posexplode_outer(listed).alias("attempt", "_candidate"))
+    return exploded.filter(F.col("_candidate").isNotNull()).select(
         *companies.columns,
         "attempt",
         F.col("_candidate.url").alias("candidate_url"),
