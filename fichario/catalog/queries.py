@@ -1116,7 +1116,8 @@ def _enriched(i: Inputs) -> DataFrame:
     return i.saved(
         "enriched",
         lambda: enrich.enrich(
-            i.candidates, i.registry["socios"], i.facts, i.now, i.stored("providers"), i.places
+            i.candidates, i.registry["socios"], i.facts, i.now, i.stored("providers"), i.places,
+            save=lambda name, rows: i.saved(f"enrich_{name}", lambda: rows),
         ),
     )
 

@@ -13,7 +13,7 @@ from fichario.constants import LEGAL_SUFFIX_PATTERN
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 # Compatibility characters common on web pages that expand to several letters.
-_EXPANDING = "¼½¾Ĳĳ…№™ﬀﬁﬂﬃﬄ"
+_EXPANDING = "¼½¾Ĳĳ№™ﬀﬁﬂﬃﬄ"
 
 
 def _base_letters(char: str) -> str:
@@ -74,6 +74,12 @@ def contains_any(c: Column, words) -> Column:
     return found
 
 
+def normalize_word(word: str) -> str:
+    """P12 for a fixed word without legal suffixes: folded, lower-case, letters and digits only."""
+    folded = _base_letters(word).lower()
+    return " ".join("".join(c if c.isalnum() or c == "_" else " " for c in folded).split())
+
+
 def normalize_text(c: Column) -> Column:
     """Fold accents, lower-case, drop legal suffixes, keep letters and digits only.
 

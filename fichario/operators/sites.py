@@ -13,7 +13,7 @@ from fichario import constants as K
 from fichario.functions import urls
 from fichario.functions.contacts import is_free_domain
 from fichario.functions.scoring import clamp, first_of, points
-from fichario.functions.text import digits, normalize_text, tail
+from fichario.functions.text import digits, normalize_text, normalize_word, tail
 from fichario.operators import skew
 
 
@@ -103,9 +103,9 @@ def site_ownership(attempts: DataFrame, threshold: int = K.SITE_MATCH_THRESHOLD)
     ``content_digits``, and ``domain_shared_count``.
     """
     host, content = F.col("host"), F.col("content")
-    title = normalize_text(F.col("site_titulo"))
+    attempts = attempts.withColumn("_title", normalize_text(F.col("site_titulo")))
     in_title = {
-        word: F.contains(title, normalize_text(F.lit(word)))
+        word: F.contains(F.col("_title"), F.lit(normalize_word(word)))
         for word in sorted(K.INCOMPATIBLE_TITLES)
     }
 
@@ -178,7 +178,7 @@ def site_ownership(attempts: DataFrame, threshold: int = K.SITE_MATCH_THRESHOLD)
             }
         )
         .drop("_early", "_score", "_reasons", "_fantasia", "_razao", "_municipio", "_telefone",
-              "_cnpj", "content", "content_digits")
+              "_cnpj", "_title", "content", "content_digits")
     )
 
 

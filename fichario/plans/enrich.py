@@ -7,6 +7,8 @@ content leaves the rows as soon as the ownership score is known.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -265,15 +267,20 @@ def enrich(
     pages_per_site: int | None = K.CRAWL_PAGES_PER_SITE,
     version: str = K.ENRICHMENT_VERSION,
     hot_rows: int = skew.HOT_ROWS,
+    save: Callable[[str, DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """New enrichment state of every candidate, ready for the S13 merge.
 
     ``facts`` is the (saved) result of ``analyze_pages``; ``candidates`` may carry
-    ``enrich_attempts`` of the previous state.
+    ``enrich_attempts`` of the previous state. ``save`` writes a stage to the shared folder and
+    returns the table read back: the profile is used twice, and a lost executor then repeats one
+    stage instead of the whole chain.
     """
-    profiled = profile(candidates, partners, providers, places, hot_rows)
-    decided = decide_sites(match_sites(profiled, facts, threshold, hot_rows))
-    rollup = pages.site_rollup(facts.filter("has_html"), pages_per_site)
+    save = save or (lambda _, rows: rows)
+    profiled = save("profile", profile(candidates, partners, providers, places, hot_rows))
+    attempts = match_sites(profiled, facts, threshold, hot_rows)
+    decided = save("decided_sites", decide_sites(attempts))
+    rollup = save("site_rollup", pages.site_rollup(facts.filter("has_html"), pages_per_site))
     rows = leads.enrich_status(site_signals(profiled, decided, rollup))
     rows = rows.withColumns(
         {
