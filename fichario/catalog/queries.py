@@ -78,8 +78,7 @@ def s2_zipped_scan(i: Inputs) -> DataFrame:
     folder = new_folder(i.spark, "zips")
     paths = registry_files.write_zipped(i.raw("raw_socios"), "Socios", folder, "Socios")
     written = [row.source_path for row in paths.collect()]  # one row per file
-    files = i.spark.createDataFrame([(p,) for p in written], "source_path string")
-    return registry_files.read_zipped(i.spark, files, "Socios").select(
+    return registry_files.read_zipped(i.spark, written, "Socios").select(
         *filled(*DATASETS["Socios"].columns)
     )
 

@@ -79,8 +79,8 @@ def _snapshot_rows(path: str) -> Iterator[list[str]]:
             yield from csv.reader(text, delimiter=SEPARATOR, quotechar=QUOTE)
 
 
-def read_zipped(spark: SparkSession, paths: DataFrame, kind: str) -> DataFrame:
-    """Rows of zipped snapshots; ``paths`` has one ``source_path`` per ZIP.
+def read_zipped(spark: SparkSession, paths: list[str], kind: str) -> DataFrame:
+    """Rows of zipped snapshots.
 
     Compressed data cannot be split, so each ZIP is one task that streams it in batches and holds
     only one batch in memory. The rows are redistributed right after, so a large ZIP weighs on
@@ -95,7 +95,7 @@ def read_zipped(spark: SparkSession, paths: DataFrame, kind: str) -> DataFrame:
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = len(columns)
         for batch in batches:
-            for path in batch.column(0).to_pylist():
+            for path in (paths[i] for i in batch.column(0).to_pylist()):
                 rows, start = _snapshot_rows(path), 0
                 while chunk := list(islice(rows, _BATCH_ROWS)):
                     padded = [row[:width] + [""] * (width - len(row)) for row in chunk]
@@ -105,9 +105,9 @@ def read_zipped(spark: SparkSession, paths: DataFrame, kind: str) -> DataFrame:
                     start += len(chunk)
                     yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    # The path list is one row per file; a shuffle by path gives each ZIP its own task.
-    one_task_each = paths.select("source_path").repartition(F.col("source_path"))
-    rows = one_task_each.mapInArrow(expand, schema)
+    # One range row per file in as many partitions: exactly one task per ZIP. (A shuffle of the
+    # short path list would be merged into a single task by adaptive execution.)
+    rows = spark.range(0, len(paths), 1, max(1, len(paths))).mapInArrow(expand, schema)
     return rows.withColumn(
         "file_name", F.regexp_extract("source_path", "([^/]+)$", 1)
     ).repartition(F.col("source_path"), F.pmod(F.col("row_id"), F.lit(1024)))
