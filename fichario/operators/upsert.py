@@ -35,11 +35,12 @@ def merge_latest(
     ``now`` stamps ``updated_at`` of the updates. ``order`` dedupes updates first (W2).
     Columns missing on one side are NULL there (schema evolution).
     """
+    # The keys alone decide which base rows stay, so duplicates need no dropping on this side.
+    untouched = base.join(updates.select(key), key, "left_anti")
     if order:
         updates = latest_per_key(updates, key, order)
     if now is not None:
         updates = updates.withColumn("updated_at", now)
-    untouched = base.join(updates.select(key), key, "left_anti")
     return untouched.unionByName(updates, allowMissingColumns=True)
 
 
