@@ -377,10 +377,15 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def raw(self, name: str) -> DataFrame:
+    def spread_table(self, name: str) -> DataFrame:
+        """A given table for heavy work: one with fewer files than cores is redistributed."""
+        rows, cores = self.table(name), self.spark.sparkContext.defaultParallelism
+        return rows if len(rows.inputFiles()) >= cores else rows.repartition(cores)
+
+    def raw(self, name: str, spread: bool = False) -> DataFrame:
         """One of the shared projections, as it is."""
-        sql = RAW[name]
-        used = {t: self.table(t) for t in TABLES if "{" + t + "}" in sql}
+        sql, read = RAW[name], self.spread_table if spread else self.table
+        used = {t: read(t) for t in TABLES if "{" + t + "}" in sql}
         return self.spark.sql(sql, **used)
 
     def saved(
@@ -399,11 +404,11 @@ class Inputs:
 
     def stored(self, name: str, spread: str | None = None) -> DataFrame:
         """One of the shared projections, saved."""
-        return self.saved(name, lambda: self.raw(name), spread)
+        return self.saved(name, lambda: self.raw(name, spread=True), spread)
 
     def typed(self, name: str, kind: str) -> DataFrame:
         def build() -> DataFrame:
-            rows = clean_rows(self.raw(name), kind, COMPETENCE)
+            rows = clean_rows(self.raw(name, spread=True), kind, COMPETENCE)
             return rows if DATASETS[kind].is_lookup else rows.withColumn("updated_at", self.now)
 
         return self.saved(f"typed_{name}", build)
@@ -432,7 +437,7 @@ class Inputs:
         times = (
             "next_retry_at", "processing_started_at", "google_places_checked_at", "enriched_at",
         )
-        return self.raw("state").withColumns(
+        return self.raw("state", spread=True).withColumns(
             {
                 "site_validation_reasons": reasons,
                 **{t: F.col(t).cast("timestamp") for t in times},

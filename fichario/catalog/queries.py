@@ -76,7 +76,8 @@ def s1_registry_scan(i: Inputs) -> DataFrame:
 def s2_zipped_scan(i: Inputs) -> DataFrame:
     """Partner rows written as ZIP snapshots and read back."""
     folder = new_folder(i.spark, "zips")
-    paths = registry_files.write_zipped(i.raw("raw_socios"), "Socios", folder, "Socios")
+    raw = i.raw("raw_socios", spread=True)
+    paths = registry_files.write_zipped(raw, "Socios", folder, "Socios")
     written = [row.source_path for row in paths.collect()]  # one row per file
     return registry_files.read_zipped(i.spark, written, "Socios").select(
         *filled(*DATASETS["Socios"].columns)
@@ -316,7 +317,7 @@ def p1_clean_text(i: Inputs) -> DataFrame:
 
 @query
 def p2_dates(i: Inputs) -> DataFrame:
-    rows = clean_rows(i.raw("raw_estabelecimentos"), "Estabelecimentos", COMPETENCE)
+    rows = clean_rows(i.raw("raw_estabelecimentos", spread=True), "Estabelecimentos", COMPETENCE)
     return rows.select("cnpj", day("data_situacao_cadastral"), day("data_inicio_atividade"))
 
 
@@ -337,7 +338,7 @@ def p4_branch_key(i: Inputs) -> DataFrame:
 
 @query
 def p5_content_hash(i: Inputs) -> DataFrame:
-    rows = clean_rows(i.raw("raw_socios"), "Socios", COMPETENCE)
+    rows = clean_rows(i.raw("raw_socios", spread=True), "Socios", COMPETENCE)
     return rows.select("cnpj_basico", "nome_socio_razao_social", "id")
 
 
@@ -398,7 +399,7 @@ def p12_normalize_names(i: Inputs) -> DataFrame:
 def p12_normalize_documents(i: Inputs) -> DataFrame:
     """Whole document texts in four languages."""
     text = normalize_text(F.col("text"))
-    return i.table("documents").select("doc_id", F.md5(text).alias("hash"))
+    return i.spread_table("documents").select("doc_id", F.md5(text).alias("hash"))
 
 
 # --- Filters ----------------------------------------------------------------------------------

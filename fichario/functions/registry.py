@@ -19,7 +19,8 @@ def parse_date(c: Column) -> Column:
     text = F.nullif(strip(c), F.lit(""))
     year, month, day = (F.regexp_extract(text, _SHORT_DATE, i) for i in (1, 2, 3))
     padded = F.concat(year, F.lpad(month, 2, "0"), F.lpad(F.ltrim(day), 2, "0"))
-    full = text.rlike(r"^\d{8}$")
+    # Impossible months and days are sorted out here: a failed parse costs an exception.
+    full = text.rlike(r"^\d{4}(0[1-9]|1[0-2])(0[1-9]|[12]\d|3[01])$")
     digits8 = F.when(full, text).when(year != "", padded)
     return F.when(~digits8.startswith("0000"), F.try_to_date(digits8, "yyyyMMdd"))
 

@@ -220,16 +220,16 @@ def _ratio(left: pd.Series, right: pd.Series) -> pd.Series:
 
 
 def name_similarity(a: Column, b: Column, floor: float) -> Column:
-    """Similarity of two names where it can reach ``floor``, else 0.
+    """Similarity of two normalised names where it can reach ``floor``, else 0.
 
-    The ratio cannot exceed 2 * shorter / (both lengths), so pairs below the floor by length
-    alone never leave the JVM.
+    Equal names are 1 at once, and the ratio cannot exceed 2 * shorter / (both lengths): only
+    pairs that neither rule settles leave the JVM.
     """
-    left, right = normalize_text(a), normalize_text(b)
-    both = F.length(left) + F.length(right)
-    bound = F.when(both == 0, 1.0).otherwise(2.0 * F.least(F.length(left), F.length(right)) / both)
-    wanted = (F.coalesce(a, F.lit("")) != "") & (F.coalesce(b, F.lit("")) != "") & (bound >= floor)
-    return F.coalesce(_ratio(F.when(wanted, left), F.when(wanted, right)), F.lit(0.0))
+    sizes = F.length(a) + F.length(b)
+    reachable = 2.0 * F.least(F.length(a), F.length(b)) >= floor * sizes
+    open_case = (a != b) & reachable
+    ratio = _ratio(F.when(open_case, a), F.when(open_case, b))
+    return F.when(a == b, 1.0).otherwise(F.coalesce(ratio, F.lit(0.0)))
 
 
 def place_scores(
@@ -245,14 +245,25 @@ def place_scores(
         "logradouro", "cep",
     )
     pairs = skew.spread_join(places, names, "cnpj", ["place_id"], hot_rows=hot_rows)
+
+    def name(column: str) -> Column:
+        """Normalised name; an empty one is NULL and similar to nothing."""
+        return F.when(_text(column) != "", normalize_text(F.col(column)))
+
     prepared = pairs.withColumns(
         {
-            "_trade": name_similarity(F.col("display_name"), F.col("nome_fantasia"), 0.75),
-            "_legal": name_similarity(F.col("display_name"), F.col("razao_social"), 0.70),
+            "_display": name("display_name"),
+            "_fantasia": name("nome_fantasia"),
+            "_razao": name("razao_social"),
             "_address": normalize_text(F.col("formatted_address")),
             "_city": normalize_text(F.col("municipio_descricao")),
         }
     )
+    display = F.col("_display")
+    prepared = prepared.withColumn("_trade", name_similarity(display, F.col("_fantasia"), 0.75))
+    # The legal name counts only where the trade name does not.
+    legal = F.when(F.col("_trade") < 0.75, F.col("_razao"))
+    prepared = prepared.withColumn("_legal", name_similarity(display, legal, 0.70))
     address, city = F.col("_address"), F.col("_city")
     street = F.left(normalize_text(F.col("logradouro")), F.lit(20))
     address_digits = digits(_text("formatted_address"))

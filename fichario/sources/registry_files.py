@@ -6,7 +6,7 @@ import csv
 import io
 import zipfile
 from collections.abc import Iterator
-from itertools import islice
+from itertools import islice, zip_longest
 
 import pyarrow as pa
 from pyarrow import fs
@@ -98,8 +98,9 @@ def read_zipped(spark: SparkSession, paths: list[str], kind: str) -> DataFrame:
             for path in (paths[i] for i in batch.column(0).to_pylist()):
                 rows, start = _snapshot_rows(path), 0
                 while chunk := list(islice(rows, _BATCH_ROWS)):
-                    padded = [row[:width] + [""] * (width - len(row)) for row in chunk]
-                    arrays = [pa.array(values, pa.string()) for values in zip(*padded)]
+                    values = list(islice(zip_longest(*chunk, fillvalue=""), width))
+                    values += [("",) * len(chunk)] * (width - len(values))
+                    arrays = [pa.array(column, pa.string()) for column in values]
                     arrays.append(pa.array([path] * len(chunk), pa.string()))
                     arrays.append(pa.array(range(start, start + len(chunk)), pa.int64()))
                     start += len(chunk)
