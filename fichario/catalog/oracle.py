@@ -926,4 +926,110 @@ _STATEMENTS = {
 }
 STEPS["loaded"] = f"SELECT * FROM accepted WHERE {VALID_PHONE}"
 
+# --- The enrichment job as a whole ---
+
+_READ = "(o.has_html AND o.reachable)"
+_SURER = "(r.plataforma <> '' AND r.plataforma_confianca > coalesce(g.plataforma_confianca, 0))"
+_LANDING = ("has_customer_login", "has_contact_form", "coming_soon")
+
+
+def _enriched_flag(name: str) -> str:
+    landing = f"coalesce(g.{name}, false)"
+    return f"{landing} AS {name}" if name in _LANDING else f"({landing} OR coalesce(r.{name}, false)) AS {name}"
+
+
+STEPS["profiled_places"] = """
+    SELECT p.* EXCLUDE (site_url, site_source), coalesce(nullif(b.website, ''), p.site_url) AS site_url,
+      CASE WHEN nullif(b.website, '') IS NOT NULL THEN 'google_places' ELSE p.site_source END AS site_source,
+      coalesce(b.google_place_match_score, 0) AS google_place_match_score,
+      b.business_status AS google_business_status,
+      CASE WHEN b.cnpj IS NULL THEN 'google_places_no_result' END AS retry_reason
+    FROM profiled p LEFT JOIN place_best b ON b.cnpj = p.cnpj"""
+STEPS["tried_all"] = tries("profiled_places")
+STEPS["landed_all"] = (
+    "SELECT t.*, k.page_id, k.url, k.status, k.content_type FROM tried_all t"
+    " JOIN page_keys k ON k.url_key = t.url_key"
+)
+STEPS["owned_all"] = ownership("landed_all")
+STEPS["attempted"] = """
+    SELECT l.cnpj, l.attempt, l.page_id, l.status, l.candidate_url, l.candidate_source, o.fetch_error,
+      o.retry_after_days, o.retry_after_hours, w.site_match_score, w.site_match_status,
+      w.site_validation_reasons, w.site_match_score >= 70 AND w.site_match_status = 'validated' AS valid,
+      l.status IS NOT NULL AND coalesce((w.site_match_score >= 70 AND w.site_match_status = 'validated')
+        OR w.site_match_status = 'rejected_webmail' OR l.status IN (404, 410), false) AS stop
+    FROM landed_all l JOIN outcomes o ON o.page_id = l.page_id
+    LEFT JOIN owned_all w ON w.cnpj = l.cnpj AND w.attempt = l.attempt"""
+STEPS["made"] = """
+    SELECT a.* FROM attempted a JOIN (SELECT cnpj, coalesce(min(attempt) FILTER (stop), 9) AS stop_at
+      FROM attempted GROUP BY 1) f ON f.cnpj = a.cnpj AND a.attempt <= f.stop_at"""
+STEPS["picked"] = """
+    SELECT cnpj, max(attempt) FILTER (status IS NOT NULL) AS site_at,
+      max(attempt) FILTER (site_match_status IS NOT NULL) AS match_at,
+      max(attempt) FILTER (fetch_error IS NOT NULL) AS error_at,
+      coalesce(bool_or(contains(site_validation_reasons, 'cnpj_no_site')), false) AS cnpj_on_site
+    FROM made GROUP BY 1"""
+STEPS["read_visits"] = """
+    SELECT * FROM (SELECT s.*, row_number() OVER (PARTITION BY host ORDER BY visit, url) AS rk
+    FROM signals s JOIN outcomes o ON o.page_id = s.page_id WHERE o.has_html) WHERE rk <= 8"""
+STEPS["read_rollup"] = merged("read_visits", "visit")
+STEPS["sited"] = """
+    SELECT p.*, s.page_id AS site_page, s.status AS site_status, s.candidate_url, s.candidate_source,
+      coalesce(m.valid, false) AND coalesce(s.status NOT IN (404, 410), true) AS site_valid,
+      coalesce(m.site_match_score, 0) AS site_match_score, m.site_match_status,
+      m.site_validation_reasons, e.fetch_error, e.retry_after_days, e.retry_after_hours,
+      coalesce(k.cnpj_on_site, false) AS cnpj_on_site
+    FROM profiled_places p LEFT JOIN picked k ON k.cnpj = p.cnpj
+    LEFT JOIN made s ON s.cnpj = k.cnpj AND s.attempt = k.site_at
+    LEFT JOIN made m ON m.cnpj = k.cnpj AND m.attempt = k.match_at
+    LEFT JOIN made e ON e.cnpj = k.cnpj AND e.attempt = k.error_at"""
+STEPS["signalled"] = f"""
+    SELECT p.* EXCLUDE (site_url, site_source), coalesce(o.reachable, false) AS site_reachable,
+      coalesce({_READ}, false) AS page_read,
+      CASE WHEN p.site_page IS NULL THEN p.site_url
+        WHEN o.has_html OR p.site_status IN (401, 403) OR o.fetch_error = 'conteudo_nao_html' THEN k.url
+        ELSE p.candidate_url END AS site_url,
+      CASE WHEN p.site_page IS NULL THEN p.site_source ELSE p.candidate_source END AS site_source,
+      {', '.join(_enriched_flag(f) for f in FLAGS)},
+      (coalesce(g.chat_provider, '') <> '' OR coalesce(r.has_chat, false)) AS has_chat,
+      CASE WHEN {_SURER} THEN r.plataforma ELSE g.plataforma END AS plataforma,
+      CASE WHEN {_SURER} THEN r.plataforma_confianca ELSE coalesce(g.plataforma_confianca, 0) END AS plataforma_confianca,
+      w.detected IS NOT NULL AS whatsapp_detected, w.normalized IS NOT NULL AS whatsapp_valid,
+      w.normalized AS whatsapp_number_normalized, c.instagram AS instagram_url, c.linkedin AS linkedin_url,
+      CASE WHEN w.normalized IS NULL THEN 'https://wa.me/' || {phone('p.telefone_1')} END AS telefone_candidato_whatsapp,
+      p.domain_shared_count >= 3 AS domain_is_shared, coalesce(p.site_validation_reasons, '') AS reasons_text,
+      NULL AS presence_maturity, NULL AS commerce_maturity, NULL AS confidence_score, NULL AS lead_score,
+      NULL AS lead_classification, NULL AS digital_score, NULL AS digital_maturity, NULL AS score_version
+    FROM sited p LEFT JOIN outcomes o ON o.page_id = p.site_page
+    LEFT JOIN pg k ON k.page_id = p.site_page
+    LEFT JOIN signals g ON g.page_id = p.site_page AND {_READ}
+    LEFT JOIN read_rollup r ON p.site_valid AND r.host = g.host
+    LEFT JOIN whatsapps w ON w.page_id = p.site_page AND {_READ}
+    LEFT JOIN socials c ON c.page_id = p.site_page AND {_READ}"""
+STEPS["enriched_rows"] = f"""
+    SELECT *, CASE WHEN page_read AND site_valid AND {STRONG} THEN 'done' WHEN page_read THEN 'partial'
+        WHEN coalesce(site_url, '') = '' THEN 'no_site' WHEN NOT site_reachable THEN 'failed'
+        ELSE 'partial' END AS enrich_status
+    FROM ({scored('signalled', _RETAIL_FIT)})"""
+STEPS["enriched_channels"] = f"""
+    SELECT *, {CHANNEL_COLUMNS} FROM (SELECT *, email AS email_original,
+      'https://wa.me/' || whatsapp_number_normalized AS whatsapp_url FROM enriched_rows)"""
+
+_STATEMENTS["enrich_candidates"] = f"""
+    SELECT cnpj, email_tipo, domain_shared_count, enrich_status, site_valid, site_reachable,
+      site_match_score, google_place_match_score, whatsapp_valid, plataforma_confianca, presence_score,
+      commerce_score, fit_score, pain_score, confidence_score, lead_score, 1 AS enrich_attempts,
+      {txt('decisor_nome', 'site_url', 'site_source', 'site_match_status', 'plataforma', 'instagram_url',
+           'whatsapp_number_normalized', 'telefone_candidato_whatsapp', 'fetch_error', 'commerce_maturity',
+           'lead_classification', 'site_validation_reasons')},
+      {ts(f"""CASE WHEN retry_reason = 'google_places_no_result' THEN {NOW_TS} + to_days(90)
+      WHEN retry_after_days IS NOT NULL THEN {NOW_TS} + to_days(retry_after_days)
+      WHEN retry_after_hours IS NOT NULL THEN {NOW_TS} + to_hours(retry_after_hours)
+      WHEN enrich_status = 'no_site' THEN {NOW_TS} + to_days(30)
+      WHEN enrich_status = 'failed' THEN {NOW_TS} + to_hours(24) END""", 'next_retry_at', '')}
+    FROM enriched_rows"""
+_STATEMENTS["qualified_leads"] = f"""
+    SELECT qualification_status, coalesce(contact_channel, '') AS contact_channel, count(*) AS total,
+      CAST(sum(lead_score) AS BIGINT) AS soma_lead
+    FROM ({qualified('enriched_channels', 60, 60)}) GROUP BY 1, 2"""
+
 ORACLE: dict[str, str] = {name: statement(sql) for name, sql in _STATEMENTS.items()}

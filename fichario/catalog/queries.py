@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fichario import constants as K
-from fichario.catalog.inputs import COMPETENCE, NOW, YEAR, Inputs
+from fichario.catalog.inputs import COMPETENCE, YEAR, Inputs
 from fichario.functions import contacts as C
 from fichario.functions import pages as P
 from fichario.functions import registry as R

@@ -199,6 +199,10 @@ def merge_rollup(rows: DataFrame, rollup: DataFrame) -> DataFrame:
     ).drop("_host", "_chat", *[f"_{c}" for c in (*_MERGED, *_PLATFORM)])
 
 
+def _no_texts() -> Column:
+    return F.array().cast("array<string>")
+
+
 def site_signals(profiled: DataFrame, decided: DataFrame, rollup: DataFrame) -> DataFrame:
     """Company rows with the signals of their deciding page and site."""
     rows = profiled.join(decided, "cnpj", "left")
@@ -220,6 +224,7 @@ def site_signals(profiled: DataFrame, decided: DataFrame, rollup: DataFrame) ->
             "site_titulo": F.nullif(F.left("site_titulo", F.lit(250)), F.lit("")),
             "site_valid": S.flag("site_valid") & ~F.coalesce(F.col("status").isin(404, 410), F.lit(False)),
             "site_match_score": S.number("site_match_score"),
+            "site_validation_reasons": F.coalesce("site_validation_reasons", _no_texts()),
             "has_html": S.flag("has_html") & S.flag("reachable"),
             "cnpj_on_site": S.flag("cnpj_on_site"),
         }
@@ -236,6 +241,7 @@ def site_signals(profiled: DataFrame, decided: DataFrame, rollup: DataFrame) ->
     rows = merge_rollup(rows, rollup).withColumns(
         {
             "plataforma_confianca": S.number("plataforma_confianca"),
+            "plataformas_detectadas": F.coalesce("plataformas_detectadas", _no_texts()),
             "whatsapp_valid": detected & F.col("whatsapp.valid"),
             "whatsapp_number": F.when(detected, F.col("whatsapp.number")),
             "whatsapp_number_normalized": F.when(detected, F.col("whatsapp.normalized")),

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from fichario.functions import pages as P
 from fichario.functions import urls

@@ -1,7 +1,6 @@
 from itertools import product
 
 import pytest
-from pyspark.sql import functions as F
 
 from fichario.functions import scoring as S
 from fichario.operators import leads

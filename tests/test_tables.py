@@ -4,7 +4,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from fichario.operators import contacts, filters, queue, skew, upsert, views
+from fichario.operators import filters, queue, skew, upsert, views
 from fichario.plans import ingest
 from fichario.schemas import DATASETS
 from fichario.session import new_folder
