@@ -44,7 +44,10 @@ def shared_dir(spark: SparkSession) -> str:
         if app not in _LOCAL_FOLDERS:
             _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="fichario-")
         configured = _LOCAL_FOLDERS[app]
-    return configured.rstrip("/")
+    # Qualified, so that a path without a scheme means the cluster's file system everywhere.
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(configured.rstrip("/"))
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

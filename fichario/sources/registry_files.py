@@ -60,11 +60,16 @@ def write_delimited(rows: DataFrame, kind: str, path: str) -> None:
     ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
+def _uri(path: str) -> str:
+    """Paths as Arrow wants them; ``file:/x`` is how Spark writes a local path."""
+    if path.startswith("file:/") and not path.startswith("file://"):
+        return "file://" + path[len("file:"):]
+    return path if "://" in path else "file://" + path
+
+
 def _open(path: str):
     """Seekable input stream on any file system Arrow knows (local, HDFS, object stores)."""
-    if "://" not in path and path.startswith("file:"):
-        path = "file://" + path[len("file:"):]
-    system, inner = fs.FileSystem.from_uri(path)
+    system, inner = fs.FileSystem.from_uri(_uri(path))
     return system.open_input_file(inner)
 
 
@@ -125,8 +130,7 @@ def write_zipped(rows: DataFrame, kind: str, folder: str, file_prefix: str) -> D
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        target = f"{folder}/{file_prefix}{part}.zip"
-        uri = target if "://" in target else "file://" + target
+        uri = _uri(f"{folder}/{file_prefix}{part}.zip")
         system, inner = fs.FileSystem.from_uri(uri)
         system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
         with system.open_output_stream(inner) as sink, zipfile.ZipFile(
