@@ -7,10 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fichario.llm import simhash
+from fichario.llm import bitplanes, bpe, simhash, warc
 from fichario.llm.common import table
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.tokenize(docs, tokenizer("byte_bpe_50k.json"), keep_ids=False)
+
+
+def op6_bitplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bitplanes.read(bitplanes.write(docs, tokenizer("word_bpe_49k.json"), end_id=1))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read(warc.write(table(spark, sf_dir, "pages"))).drop("url")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -18,6 +38,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_bpe": op5_bpe,
+    "op6_bitplanes": op6_bitplanes,
+    "op8_warc": op8_warc,
     "op10_simhash": op10_simhash,
 }
 
