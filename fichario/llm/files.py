@@ -20,7 +20,7 @@ def new_file(folder: str, stem: str, suffix: str) -> str:
 def open_out(uri: str) -> BinaryIO:
     system, path = fs.FileSystem.from_uri(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
-    return system.open_output_stream(path)
+    return system.open_output_stream(path, compression=None)
 
 
 def open_in(uri: str) -> BinaryIO:
