@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fichario.llm import bitplanes, bpe, simhash, warc
+from fichario.llm import bitplanes, bpe, decontaminate, quality_rules, simhash, slots, warc
 from fichario.llm.common import table
 
 
@@ -17,6 +17,14 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.tokenize(docs, tokenizer("byte_bpe_50k.json"), keep_ids=False)
@@ -27,6 +35,10 @@ def op6_bitplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.read(bitplanes.write(docs, tokenizer("word_bpe_49k.json"), end_id=1))
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return slots.assign(table(spark, sf_dir, "documents"), shards=16)
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(warc.write(table(spark, sf_dir, "pages"))).drop("url")
 
@@ -38,10 +50,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
+    "op3_decontamination": op3_decontamination,
     "op5_bpe": op5_bpe,
     "op6_bitplanes": op6_bitplanes,
+    "op7_sharding": op7_sharding,
     "op8_warc": op8_warc,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_quality_rules": quality_rules.SQL}
