@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fichario.llm import bitplanes, bpe, decontaminate, quality_rules, simhash, slots, warc
+from fichario.llm import bitplanes, bpe, decontaminate, pii, quality_rules, simhash, slots, warc
 from fichario.llm.common import table
 
 
@@ -25,6 +25,13 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"),
+        "spans", "n_id")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.tokenize(docs, tokenizer("byte_bpe_50k.json"), keep_ids=False)
@@ -52,6 +59,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_decontamination": op3_decontamination,
+    "op4_pii": op4_pii,
     "op5_bpe": op5_bpe,
     "op6_bitplanes": op6_bitplanes,
     "op7_sharding": op7_sharding,
