@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fichario.llm import bitplanes, bpe, decontaminate, pii, quality_rules, simhash, slots, warc
+from fichario.llm import (
+    bitplanes, bpe, decontaminate, pii, quality_model, quality_rules, simhash, slots, toxicity, warc)
 from fichario.llm.common import table
 
 
@@ -17,6 +18,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -50,13 +55,24 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(warc.write(table(spark, sf_dir, "pages"))).drop("url")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_quality_rules": op2_quality_rules,
     "op3_decontamination": op3_decontamination,
     "op4_pii": op4_pii,
@@ -64,7 +80,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bitplanes": op6_bitplanes,
     "op7_sharding": op7_sharding,
     "op8_warc": op8_warc,
+    "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {"op2_quality_rules": quality_rules.SQL}
