@@ -58,13 +58,18 @@ def windows(found: Column) -> Column:
 
 
 def _slots(row: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, at, h, slots: every window of a text with the slots in it (place, value)."""
+    """keys, at, h, slots: every window of a text with the slots in it (place, value). Windows are
+    built in the row, so that an exploded row holds its own window only."""
     both = row.select(*keys, windows(tokens(F.col("text"), False)).alias("w"), tokens(F.col("text"), True).alias("t"))
-    cut = both.select(*keys, "t", F.posexplode("w").alias("at", "h"))
-    inside = F.transform(
-        F.slice("t", F.col("at") + 1, WINDOW),
-        lambda t, i: F.struct(i.alias("i"), F.when(t.rlike(f"^[{NAME}-{UNIT}]"), t).alias("v")))
-    return cut.select(*keys, "at", "h", F.filter(inside, lambda s: s["v"].isNotNull()).alias("slots"))
+
+    def inside(at: Column) -> Column:
+        five = F.transform(
+            F.slice("t", at + 1, WINDOW),
+            lambda t, i: F.struct(i.alias("i"), F.when(t.rlike(f"^[{NAME}-{UNIT}]"), t).alias("v")))
+        return F.filter(five, lambda s: s["v"].isNotNull())
+
+    return both.select(*keys, F.inline(F.transform(
+        "w", lambda h, at: F.struct(at.alias("at"), h.alias("h"), inside(at).alias("slots")))))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -97,8 +102,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key"))
     wanted = near.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
-    texts = keyed.join(wanted, same, "left_semi").dropDuplicates(["doc_id", "text_key"])
-    mine = _slots(texts, ["doc_id", "text_key"])
+    # rows that repeat bring the same windows again, which changes no share and no majority
+    mine = _slots(keyed.join(wanted, same, "left_semi"), ["doc_id", "text_key"])
     its = items.withColumn("item_key", F.xxhash64(F.coalesce("text", F.lit("")))).join(
         near.select("item_key").distinct(), "item_key", "left_semi")
     its = _slots(its, ["item_id", "item_key"]).groupBy("item_id", "item_key", "h").agg(
