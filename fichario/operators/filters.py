@@ -27,8 +27,8 @@ class BranchFilter:
 
 
 def is_active() -> Column:
-    """F1."""
-    return F.coalesce(F.col("situacao_cadastral") == K.ACTIVE_STATUS, F.lit(False))
+    """a plain equality, so that it reaches the scan; NULL where the status is missing."""
+    return F.col("situacao_cadastral") == K.ACTIVE_STATUS
 
 
 def in_states(states) -> Column:

@@ -236,14 +236,15 @@ def qualify(
 
 
 def outreach_legacy(qualified: DataFrame) -> DataFrame:
-    """L1: the whole table by score and date, missing values first."""
+    """L1: the whole table by score and date, missing values first; ties by branch key, which also
+    splits the range of a frequent score."""
     return qualified.orderBy(
-        F.col("digital_score").desc_nulls_first(), F.col("qualified_at").desc_nulls_first()
+        F.col("digital_score").desc_nulls_first(), F.col("qualified_at").desc_nulls_first(), "cnpj"
     )
 
 
 def outreach(qualified: DataFrame) -> DataFrame:
-    """L2: outreach columns, best leads first, missing scores last."""
+    """L2: outreach columns, best leads first, missing scores last, ties by branch key."""
     return qualified.withColumn(
         "site_final_url", F.coalesce("site_final_url", "site_url")
     ).select(
@@ -253,7 +254,9 @@ def outreach(qualified: DataFrame) -> DataFrame:
         "contact_value", "contact_confidence", "contact_role", "qualification_status",
         "rejection_reasons", "qualification_reasons", "decisor_nome", "uf", "municipio_descricao",
         "plataforma", "whatsapp_url", "instagram_url", "last_qualified_at", "updated_at",
-    ).orderBy(F.col("lead_score").desc_nulls_last(), F.col("confidence_score").desc_nulls_last())
+    ).orderBy(
+        F.col("lead_score").desc_nulls_last(), F.col("confidence_score").desc_nulls_last(), "cnpj"
+    )
 
 
 def qualified_list(qualified: DataFrame) -> DataFrame:

@@ -33,7 +33,8 @@ def merge_latest(
     """Updates replace base rows of the same key; no base row is ever deleted.
 
     ``now`` stamps ``updated_at`` of the updates. ``order`` dedupes updates first (W2).
-    Columns missing on one side are NULL there (schema evolution).
+    Known rows keep the columns that the updates do not carry; columns that only the updates have
+    are NULL in the rows they do not touch (schema evolution).
     """
     # The keys alone decide which base rows stay, so duplicates need no dropping on this side.
     untouched = base.join(updates.select(key), key, "left_anti")
@@ -41,6 +42,9 @@ def merge_latest(
         updates = latest_per_key(updates, key, order)
     if now is not None:
         updates = updates.withColumn("updated_at", now)
+    kept = [c for c in base.columns if c not in updates.columns]
+    if kept:
+        updates = updates.join(base.select(key, *kept), key, "left")
     return untouched.unionByName(updates, allowMissingColumns=True)
 
 
@@ -57,7 +61,8 @@ def merge_lookup(
 
 
 def merge_enrichment(state: DataFrame, results: DataFrame, now: Column) -> DataFrame:
-    """Enrichment upsert; all columns replaced, time stamps refreshed, marks cleared."""
+    """Enrichment upsert; the columns of ``results`` are replaced, the others kept, time stamps
+    refreshed, marks cleared."""
     stamped = results.withColumns(
         {
             "enriched_at": now,
@@ -73,7 +78,8 @@ def merge_qualification(history: DataFrame, evaluated: DataFrame, now: Column) -
     """Qualification upsert.
 
     The root of a known row is not updated, and its ``qualified_at`` moves only when the new
-    status is ``qualified``. Both sides are unique per branch key, so the outer join cannot skew.
+    status is ``qualified``. Columns that only the history has stay. Both sides are unique per branch
+    key, so the outer join cannot skew.
     """
     names = [c for c in evaluated.columns if c != "cnpj"]
     old, new = history.alias("old"), evaluated.withColumn("_new", F.lit(True)).alias("new")
@@ -92,6 +98,9 @@ def merge_qualification(history: DataFrame, evaluated: DataFrame, now: Column) -
         else:
             before = F.col(f"old.{name}") if name in history.columns else F.lit(None)
             columns.append(F.when(changed, F.col(f"new.{name}")).otherwise(before).alias(name))
+    dates = ("qualified_at", "last_qualified_at", "updated_at")
+    only_old = [c for c in history.columns if c not in (*evaluated.columns, *dates)]
+    columns += [F.col(f"old.{c}").alias(c) for c in only_old]
     stamp = {n: F.when(changed, now).otherwise(F.col(f"old.{n}")) for n in
              ("last_qualified_at", "updated_at")}
     return joined.select(
