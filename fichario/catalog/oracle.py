@@ -204,7 +204,8 @@ def ranked(with_confidence: bool) -> str:
 
 FLAGS = tuple(FLAG_SQL)
 HOST = r"regexp_replace(regexp_extract(lower(url), '^[a-z]+://(?:[^/@]*@)?([^/:?#]+)', 1), '^www\.', '')"
-PATHS = ["/", *K.INNER_PATHS]
+PATHS = ["", *(p.rstrip("/") for p in K.INNER_PATHS)]
+CHATS, PLATFORMS = [*K.CHAT_PATTERNS, "custom"], list(K.PLATFORM_PATTERNS)
 ORIGIN = r"regexp_extract(url, '^([a-z]+:)//', 1)"
 SITE = r"regexp_extract(url, '^([a-z]+://[^/]+)', 1)"
 IS_HTML = (
@@ -219,8 +220,8 @@ def merged(source: str, order: str) -> str:
     return f"""
     SELECT s.host, {flags}, coalesce(bool_or(chat_provider IS NOT NULL), false) AS has_chat,
       max(plataforma_confianca) AS plataforma_confianca,
-      coalesce(arg_min(chat_provider, {order}) FILTER (chat_provider IS NOT NULL), '') AS chat_provider,
-      coalesce(arg_min(plataforma, {order}) FILTER (plataforma IS NOT NULL), '') AS plataforma,
+      coalesce(arg_min(chat_provider, {order} * 100 + list_position([{quoted(CHATS)}], chat_provider)) FILTER (chat_provider IS NOT NULL), '') AS chat_provider,
+      coalesce(arg_min(plataforma, {order} * 100 + list_position([{quoted(PLATFORMS)}], plataforma)) FILTER (plataforma IS NOT NULL), '') AS plataforma,
       coalesce(any_value(p.lista), '') AS plataformas_detectadas
     FROM {source} s LEFT JOIN (
       SELECT host, string_agg(name, '|' ORDER BY seen) AS lista FROM (
@@ -435,7 +436,8 @@ STEPS: dict[str, str] = {
         AS digital_score,
       CASE WHEN n.cnpj IS NULL OR (o.cnpj IS NOT NULL AND n.qualification_status <> 'qualified')
         THEN o.enriched_at ELSE {NOW_TS} END AS qualified_at,
-      CASE WHEN n.cnpj IS NULL THEN o.enriched_at ELSE {NOW_TS} END AS last_qualified_at
+      CASE WHEN n.cnpj IS NULL THEN o.enriched_at ELSE {NOW_TS} END AS last_qualified_at,
+      'nota ' || o.cnpj AS history_note
     FROM evaluated n FULL JOIN history o ON o.cnpj = n.cnpj""",
     "queue": """
     SELECT c.cnpj, st.cnpj IS NOT NULL AS has_state, st.* EXCLUDE (cnpj) FROM candidates c
@@ -449,8 +451,8 @@ STEPS: dict[str, str] = {
     SELECT *, replace(html_body, '<title>', '<title>' || title_word) AS html FROM site_pages""",
     "hits": "SELECT *, " + ", ".join(f"{sql} AS h_{n}" for n, sql in _HITS.items()) + " FROM pg",
     "signals": f"""
-    SELECT page_id, url, {HOST} AS host, list_position([{quoted(PATHS)}],
-        regexp_extract(url, '^[a-z]+://[^/]+([^?#]*)', 1)) - 1 AS visit,
+    SELECT page_id, url, {HOST} AS host, coalesce(list_position([{quoted(PATHS)}],
+        rtrim(regexp_extract(url, '^[a-z]+://[^/]+([^?#]*)', 1), '/')) - 1, {len(PATHS)}) AS visit,
       {', '.join(f'{s} AS {n}' for n, s in FLAG_SQL.items())}, {CHAT_SQL} AS chat_provider,
       nullif(split_part({ranked(False)}, '|', 1), '') AS plataforma,
       greatest({', '.join(_CONF.values())}) AS plataforma_confianca, {ranked(False)} AS plats
@@ -462,10 +464,7 @@ STEPS: dict[str, str] = {
       CASE WHEN {IS_HTML} THEN s.plataforma_confianca ELSE 0 END AS plataforma_confianca,
       CASE WHEN {IS_HTML} THEN s.plats ELSE '' END AS plats
     FROM signals s JOIN site_pages f ON f.page_id = s.page_id""",
-    "visited": """
-    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY visit, url) AS rk
-    FROM signals) WHERE rk <= 8""",
-    "rollup": merged("visited", "visit"),
+    "rollup": merged("signals", "visit"),
     "links": f"""
     SELECT page_id, ord, CASE WHEN starts_with(h, '//') THEN {ORIGIN} || h
         WHEN starts_with(h, '/') THEN {SITE} || h ELSE h END AS href
@@ -693,27 +692,29 @@ _STATEMENTS = {
       CASE WHEN populacao % 2 = 0 THEN '2025-01-01 00:00:00' ELSE '{NOW}' END AS updated_at
     FROM population""",
     "s13_enrichment_upsert": f"""
-    SELECT cnpj, enrich_status, {txt('lead_score', 'plataforma', 'processing_run_id')},
+    SELECT cnpj, enrich_status,
+      {txt('lead_score', 'plataforma', 'processing_run_id', 'site_match_status', 'digital_score')},
       {ts('enriched_at', 'enriched_at')}
     FROM state WHERE cnpj NOT IN (SELECT cnpj FROM estabelecimentos WHERE situacao_cadastral = '08')
-    UNION ALL SELECT cnpj, 'done', '77', 'vtex', '', '{NOW}' FROM estabelecimentos
-    WHERE situacao_cadastral = '08'""",
+    UNION ALL SELECT e.cnpj, 'done', '77', 'vtex', '', {txt('site_match_status', 'digital_score')}, '{NOW}'
+    FROM (SELECT cnpj FROM estabelecimentos WHERE situacao_cadastral = '08') e
+    LEFT JOIN state s ON s.cnpj = e.cnpj""",
     "s14_qualification_upsert": f"""
-    SELECT cnpj, cnpj_basico, qualification_status, {txt('lead_score', 'contact_channel')},
+    SELECT cnpj, cnpj_basico, qualification_status, {txt('lead_score', 'contact_channel', 'history_note')},
       {ts('qualified_at', 'qualified_at')}, {ts('last_qualified_at', 'last_qualified_at')}
     FROM requalified""",
     "s15_files_to_load": f"""
-    SELECT competence, name, file_type FROM {_FILES} WHERE NOT (competence > '2005'
-      AND length(name) % 4 <> 0 AND (size IS NULL OR size % 3000 <> 0)
+    SELECT competence, name, file_type FROM {_FILES} WHERE NOT (length(name) % 4 <> 0 AND (size IS NULL OR size % 3000 <> 0)
       AND (last_modified IS NULL OR last_modified <> 'ECONOMY'))""",
     "s17_load_audit": f"""
     SELECT competence, name AS file_name, file_type,
       CASE WHEN size IS NULL OR size % 7000 = 0 THEN 'failed' ELSE 'success' END AS status,
-      coalesce(size, 0) AS rows_processed, CASE WHEN size % 7000 = 0 THEN 4000 ELSE 0 END AS error_length
+      coalesce(size, 0) AS rows_processed, CASE WHEN size % 7000 = 0 THEN 5000 ELSE 0 END AS error_length
     FROM {_FILES}""",
     "s17_run_audit": f"""
-    SELECT '{COMPETENCE}' AS competence, 'success' AS status, count(*) AS files_total,
-      count(*) AS files_processed, CAST(sum(size) AS BIGINT) AS rows_processed FROM listing WHERE size > 0""",
+    SELECT '{COMPETENCE}' AS competence, CASE WHEN count(*) = 0 THEN 'skipped'
+        WHEN count(*) > count(size) THEN 'failed' ELSE 'success' END AS status, count(*) AS files_total,
+      count(size) AS files_processed, CAST(coalesce(sum(size), 0) AS BIGINT) AS rows_processed FROM listing""",
     "p1_clean_text": f"SELECT cnpj_basico, {clean('razao_social')} AS razao_social,"
     f" coalesce({clean('porte')}, '-') AS porte FROM raw_empresas",
     "p2_dates": "SELECT cnpj, strftime(data_situacao_cadastral, '%Y-%m-%d') AS data_situacao_cadastral,"
@@ -783,6 +784,9 @@ _STATEMENTS = {
     "a3_maturity_counts": " UNION ALL ".join(map(named_count, ("commerce_maturity", "presence_maturity", "lead_classification"))),
     "a4_top_platforms": "SELECT plataforma, count(*) AS total FROM state WHERE plataforma IS NOT NULL GROUP BY 1 ORDER BY total DESC, plataforma LIMIT 10",
     "a5_qualification_counts": "SELECT qualification_status, count(*) AS total FROM evaluated GROUP BY 1",
+    "a6_shared_domains_batch": f"""
+    SELECT d.cnpj, {txt('email_dominio')}, domain_shared_count, domain_shared_count >= 3 AS domain_is_shared
+    FROM domains d JOIN candidates c ON c.cnpj = d.cnpj WHERE c.uf = 'PR'""",
     "a6_shared_domains": f"SELECT cnpj, {txt('email_dominio')}, domain_shared_count, domain_shared_count >= 3 AS domain_is_shared FROM domains",
     "a7_merge_signals": f"SELECT {_SIGNAL_ROW} FROM ({merged('read_signals', 'page_id')})",
     "a8_run_stats": "SELECT run_id, count(*) AS processed, " + ", ".join(
@@ -969,8 +973,7 @@ STEPS["picked"] = """
       coalesce(bool_or(contains(site_validation_reasons, 'cnpj_no_site')), false) AS cnpj_on_site
     FROM made GROUP BY 1"""
 STEPS["read_visits"] = """
-    SELECT * FROM (SELECT s.*, row_number() OVER (PARTITION BY host ORDER BY visit, url) AS rk
-    FROM signals s JOIN outcomes o ON o.page_id = s.page_id WHERE o.has_html) WHERE rk <= 8"""
+    SELECT s.* FROM signals s JOIN outcomes o ON o.page_id = s.page_id WHERE o.has_html"""
 STEPS["read_rollup"] = merged("read_visits", "visit")
 STEPS["sited"] = """
     SELECT p.*, s.page_id AS site_page, s.status AS site_status, s.candidate_url, s.candidate_source,

@@ -224,9 +224,12 @@ def s13_enrichment_upsert(i: Inputs) -> DataFrame:
         "cnpj", "cnpj_basico", F.lit("done").alias("enrich_status"), F.lit(77).alias("lead_score"),
         F.lit("vtex").alias("plataforma"),
     )
-    merged = upsert.merge_enrichment(i.state.select(*columns), results, i.now)
+    merged = upsert.merge_enrichment(
+        i.state.select(*columns, "site_match_status", "digital_score"), results, i.now
+    )
     return merged.select(
-        "cnpj", "enrich_status", *filled("lead_score", "plataforma", "processing_run_id"),
+        "cnpj", "enrich_status", *filled("lead_score", "plataforma", "processing_run_id",
+                                         "site_match_status", "digital_score"),
         moment("enriched_at"),
     )
 
@@ -239,6 +242,7 @@ def _history(i: Inputs) -> DataFrame:
         F.lit("review_required").alias("qualification_status"),
         "lead_score", F.col("enriched_at").alias("qualified_at"),
         F.col("enriched_at").alias("last_qualified_at"), F.col("enriched_at").alias("updated_at"),
+        F.concat(F.lit("nota "), "cnpj").alias("history_note"),
     )
 
 
@@ -248,7 +252,8 @@ def s14_qualification_upsert(i: Inputs) -> DataFrame:
     evaluated = leads.qualify(i.candidates, i.state)
     merged = upsert.merge_qualification(_history(i), evaluated, i.now)
     return merged.select(
-        "cnpj", "cnpj_basico", "qualification_status", *filled("lead_score", "contact_channel"),
+        "cnpj", "cnpj_basico", "qualification_status",
+        *filled("lead_score", "contact_channel", "history_note"),
         moment("qualified_at"), moment("last_qualified_at"),
     )
 
@@ -264,7 +269,7 @@ def _audit(i: Inputs) -> DataFrame:
         F.when(F.col("last_modified") == "ECONOMY", "then").otherwise(
             F.col("last_modified")
         ).alias("source_last_modified"),
-    ).filter(F.col("competence") > "2005")
+    )
 
 
 @query
@@ -302,7 +307,7 @@ def s17_run_audit(i: Inputs) -> DataFrame:
         "competence", F.col("size").alias("rows_processed"),
         F.when(F.col("size").isNull(), "failed").otherwise("success").alias("status"),
     )
-    return reports.run_audit(files.filter(F.col("rows_processed") > 0), COMPETENCE)
+    return reports.run_audit(files, COMPETENCE)
 
 
 # --- Cleaning ---------------------------------------------------------------------------------
@@ -616,6 +621,17 @@ def a5_qualification_counts(i: Inputs) -> DataFrame:
     return reports.counts_by(leads.qualify(i.candidates, i.state), "qualification_status")
 
 
+@query
+def a6_shared_domains_batch(i: Inputs) -> DataFrame:
+    """One state's companies as a batch, the others as the stored state."""
+    rows = contacts.email_profile(i.candidates)
+    batch = rows.filter("uf = 'PR'").select("cnpj", "email_dominio")
+    stored = rows.filter("uf <> 'PR' OR uf IS NULL OR cnpj LIKE '%7'").select("cnpj", "email_dominio")
+    return contacts.shared_domain_counts(batch, stored=stored).select(
+        "cnpj", *filled("email_dominio"), "domain_shared_count", "domain_is_shared"
+    )
+
+
 @query
 def a6_shared_domains(i: Inputs) -> DataFrame:
     rows = contacts.email_profile(i.candidates).select("cnpj", "email_dominio")

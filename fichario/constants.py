@@ -158,6 +158,5 @@ PLACE_MATCH_THRESHOLD = 70
 PLACE_TTL_DAYS = 90
 NO_SITE_RETRY_DAYS = 30
 FAILED_RETRY_HOURS = 24
-CRAWL_PAGES_PER_SITE = 8
 MIN_CONFIDENCE = 60
 MIN_LEAD = 60

@@ -56,14 +56,31 @@ def decision_makers(partners: DataFrame) -> DataFrame:
     )
 
 
-def shared_domain_counts(companies: DataFrame, hot_rows: int = skew.HOT_ROWS) -> DataFrame:
+def domain_counts(companies: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """(email_dominio, n): companies per e-mail domain, over the batch and the stored state.
+
+    Only keys and domains are read. A stored company that is also in the batch counts with the
+    domain it has now.
+    """
+    pairs = companies.select("cnpj", "email_dominio")
+    if stored is not None:
+        before = stored.select("cnpj", "email_dominio").join(pairs.select("cnpj"), "cnpj", "left_anti")
+        pairs = pairs.unionByName(before.distinct())
+    return skew.key_counts(pairs.filter(F.col("email_dominio") != ""), "email_dominio")
+
+
+def shared_domain_counts(
+    companies: DataFrame, hot_rows: int = skew.HOT_ROWS, stored: DataFrame | None = None
+) -> DataFrame:
     """For each company the number of other companies with the same e-mail domain.
 
-    ``companies`` has one row per ``cnpj``. Domains are counted with partial aggregation and the
-    counts joined back; the heavy free-mail domains are spread, missing domains skip the join.
+    ``companies`` has one row per ``cnpj``; ``stored`` (cnpj, email_dominio) holds the companies known
+    from before, so that a batch sees the domains of all of them. Domains are counted with partial
+    aggregation and the counts joined back; the heavy free-mail domains are spread, missing domains
+    skip the join.
     """
     with_domain = companies.filter(F.col("email_dominio") != "")
-    counts = skew.key_counts(with_domain, "email_dominio")
+    counts = domain_counts(companies, stored)
     counted = skew.spread_join(
         with_domain, counts, "email_dominio", ["cnpj"], counts=counts, hot_rows=hot_rows
     ).withColumn("domain_shared_count", F.col("n") - 1).drop("n")
@@ -76,7 +93,8 @@ def shared_domain_counts(companies: DataFrame, hot_rows: int = skew.HOT_ROWS) ->
 
 
 def profile_contacts(
-    candidates: DataFrame, partners: DataFrame, hot_rows: int = skew.HOT_ROWS
+    candidates: DataFrame, partners: DataFrame, hot_rows: int = skew.HOT_ROWS,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
     """E-mail profile, phone, size band, decision maker and shared-domain count per candidate."""
     profiled = size_bands(email_profile(candidates)).withColumn(
@@ -85,4 +103,4 @@ def profile_contacts(
     with_person = skew.spread_join(
         profiled, decision_makers(partners), "cnpj_basico", ["cnpj"], "left", hot_rows=hot_rows
     )
-    return shared_domain_counts(with_person, hot_rows)
+    return shared_domain_counts(with_person, hot_rows, stored)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fichario import constants as K
@@ -43,12 +43,13 @@ def page_signals(pages: DataFrame, url: str = "url", html: str = "html") -> Data
 
 
 def visit_order(url: Column) -> Column:
-    """Place of a URL in the crawl of its site: landing page 0, inner paths 1 to 13, else NULL."""
-    path = urls.path(url)
-    order = F.when(path.isin("", "/"), 0)
+    """Place of a URL among the pages of its site: landing page 0, inner paths 1 to 13 with or without
+    a final slash, all other paths after them."""
+    path = F.regexp_replace(urls.path(url), "/+$", "")
+    order = F.when(path == "", 0)
     for position, inner in enumerate(K.INNER_PATHS, start=1):
-        order = order.when(path == inner, position)
-    return order
+        order = order.when(path == inner.rstrip("/"), position)
+    return order.otherwise(len(K.INNER_PATHS) + 1)
 
 
 def merge_signals(signals: DataFrame, group: str, order: str) -> DataFrame:
@@ -90,31 +91,11 @@ def merge_signals(signals: DataFrame, group: str, order: str) -> DataFrame:
     ).drop("_chat", "_platform", *[f"_seen_{n}" for n in _PLATFORM_NAMES])
 
 
-def crawled_pages(
-    pages: DataFrame, pages_per_site: int | None = K.CRAWL_PAGES_PER_SITE
-) -> DataFrame:
-    """The pages of each site a crawl visits: landing page, then the inner paths, up to a budget.
-
-    The rank limit is applied before the shuffle too, so a huge site sends few rows.
-    """
-    visited = pages.withColumn("visit_order", visit_order(F.col("url"))).filter(
-        F.col("visit_order").isNotNull()
+def site_rollup(signals: DataFrame) -> DataFrame:
+    """Signals of all pages of each site, merged by A7."""
+    return merge_signals(
+        signals.withColumn("visit_order", visit_order(F.col("url"))), "host", "visit_order"
     )
-    if pages_per_site is None:
-        return visited
-    in_site = Window.partitionBy("host").orderBy("visit_order", "url")
-    return (
-        visited.withColumn("_rank", F.row_number().over(in_site))
-        .filter(F.col("_rank") <= pages_per_site)
-        .drop("_rank")
-    )
-
-
-def site_rollup(
-    signals: DataFrame, pages_per_site: int | None = K.CRAWL_PAGES_PER_SITE
-) -> DataFrame:
-    """Signals of the visited pages of each site, merged by A7."""
-    return merge_signals(crawled_pages(signals, pages_per_site), "host", "visit_order")
 
 
 def is_html(content_type: Column) -> Column:
@@ -165,11 +146,7 @@ def fetch_outcome(log: DataFrame, failed_retry_hours: int = K.FAILED_RETRY_HOURS
     )
 
 
-def page_content(pages: DataFrame, html: str = "html", max_chars: int | None = None) -> DataFrame:
-    """Normalised text and digit string of each page, made once before any join.
-
-    The whole page is used; ``max_chars`` bounds it where a caller wants a bound.
-    """
-    text = F.col(html) if max_chars is None else F.left(F.col(html), F.lit(max_chars))
-    normalized = pages.withColumn("content", normalize_text(text))
+def page_content(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Normalised text and digit string of each whole page, made once before any join."""
+    normalized = pages.withColumn("content", normalize_text(F.col(html)))
     return normalized.withColumn("content_digits", digits(F.col("content")))

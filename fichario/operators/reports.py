@@ -64,7 +64,7 @@ def file_audit(plan: DataFrame, loaded: DataFrame, now: Column) -> DataFrame:
     """Audit row per planned file.
 
     ``loaded``: file_name, rows_processed, sha256, error_message of the files read. A planned file
-    that was not read, or that has an error, is ``failed``; messages keep 4,000 characters.
+    that was not read, or that has an error, is ``failed``; messages are kept whole.
     """
     joined = plan.join(loaded, "file_name", "left")
     failed = F.col("rows_processed").isNull() | F.col("error_message").isNotNull()
@@ -73,7 +73,7 @@ def file_audit(plan: DataFrame, loaded: DataFrame, now: Column) -> DataFrame:
         F.when(failed, "failed").otherwise("success").alias("status"),
         F.coalesce(F.col("rows_processed"), F.lit(0)).alias("rows_processed"),
         now.alias("processed_at"),
-        F.left(F.col("error_message"), F.lit(4000)).alias("error_message"),
+        F.col("error_message"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -17,10 +17,6 @@ from fichario.functions.text import digits, normalize_text, normalize_word, tail
 from fichario.operators import skew
 
 
-# A company has one known site at most and two URLs from its e-mail domain.
-MAX_CANDIDATES = 3
-
-
 def _text(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
@@ -63,12 +59,25 @@ def site_candidates(companies: DataFrame) -> DataFrame:
     )
 
 
+def latest_fetches(pages: DataFrame) -> DataFrame:
+    """One row per ``url_key``: the latest fetch by ``fetched_at`` where the log has it; then the
+    answered ones, the best status, HTTPS before HTTP, and a hash of the page decide."""
+    status, moment = F.col("status"), F.lit(None).cast("timestamp")
+    if "fetched_at" in pages.columns:
+        moment = F.col("fetched_at")
+    rank = Window.partitionBy("url_key").orderBy(
+        moment.desc_nulls_last(), status.isNull(), F.when(status.between(200, 299), 0).otherwise(1),
+        status, F.col("url").desc(), F.xxhash64("content"),
+    )
+    return pages.withColumn("_rank", F.row_number().over(rank)).filter("_rank = 1").drop("_rank")
+
+
 def join_pages(
     candidates: DataFrame, pages: DataFrame, hot_rows: int = skew.HOT_ROWS
 ) -> DataFrame:
     """Attempts joined to the fetched pages; a domain shared by very many companies is spread.
 
-    ``pages`` has one row per ``url_key``.
+    ``pages`` has one row per ``url_key``: see ``latest_fetches``.
     """
     return skew.spread_join(
         candidates, pages, "url_key", ["cnpj", "attempt"], "inner", hot_rows=hot_rows

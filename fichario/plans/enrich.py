@@ -37,7 +37,7 @@ _ATTEMPT_FIELDS = (
 )
 
 
-def analyze_pages(fetched: DataFrame, max_chars: int | None = None) -> DataFrame:
+def analyze_pages(fetched: DataFrame) -> DataFrame:
     """Facts of every fetched URL: outcome, signals and normalised content.
 
     ``fetched``: url, status, content_type, error, retry_after, redirect_count, html. Only HTML
@@ -47,7 +47,7 @@ def analyze_pages(fetched: DataFrame, max_chars: int | None = None) -> DataFrame
         "has_html", F.col("has_html") & (F.coalesce(F.length("html"), F.lit(0)) > 0)
     )
     html = F.when(F.col("has_html"), F.col("html"))
-    read = pages.page_content(log.withColumn("html", html), max_chars=max_chars)
+    read = pages.page_content(log.withColumn("html", html))
     facts = pages.page_signals(read)
     has_final = F.col("has_html") | (F.col("status") == 403) | (F.col("status") == 401)
     other_type = F.col("fetch_error") == "conteudo_nao_html"
@@ -65,9 +65,11 @@ def profile(
     providers: DataFrame | None = None,
     places: DataFrame | None = None,
     hot_rows: int = skew.HOT_ROWS,
+    state: DataFrame | None = None,
 ) -> DataFrame:
-    """What is known about each candidate before looking at sites."""
-    rows = contacts.profile_contacts(candidates, partners, hot_rows).withColumns(
+    """What is known about each candidate before looking at sites; ``state`` holds the companies
+    enriched earlier, whose e-mail domains count as well."""
+    rows = contacts.profile_contacts(candidates, partners, hot_rows, state).withColumns(
         {
             "site_url": F.lit(None).cast("string"),
             "site_source": F.lit(None).cast("string"),
@@ -117,7 +119,7 @@ def match_sites(
         "email_dominio", "uf", "domain_shared_count", "_fantasia", "_razao", "_municipio",
         "_telefone", "_cnpj",
     )
-    fetched = facts.select(
+    fetched = sites.latest_fetches(facts).select(
         "url_key", *_PAGE_FIELDS, "content", "content_digits"
     )
     scored = sites.site_ownership(sites.join_pages(tried, fetched, hot_rows), threshold)
@@ -136,34 +138,29 @@ def match_sites(
 def decide_sites(attempts: DataFrame) -> DataFrame:
     """W5 for the attempts of ``match_sites``: one row per company.
 
-    A company has at most MAX_CANDIDATES attempts, so each one becomes a column of a single
-    aggregate and the order rules are plain expressions over those columns.
+    Attempts count in order up to the first that stops. Of those the last answered one gives the
+    site, the last with an ownership score the match, the last failed one the error. The choices are
+    aggregates over (company, attempt), which is unique, so the result does not depend on row order.
     """
     stop = F.col("status").isNotNull() & (
         S.flag("site_valid")
         | (F.coalesce(F.col("site_match_status"), F.lit("")) == "rejected_webmail")
         | F.col("status").isin(404, 410)
     )
-    row = F.struct(
-        F.coalesce(stop, F.lit(False)).alias("stop"),
-        *[c for c in attempts.columns if c in _ATTEMPT_FIELDS],
+    stops = attempts.groupBy("cnpj").agg(F.min(F.when(stop, F.col("attempt"))).alias("_until"))
+    made = attempts.join(stops, "cnpj").filter(
+        F.col("_until").isNull() | (F.col("attempt") <= F.col("_until"))
     )
-    per_company = attempts.groupBy("cnpj").agg(
-        *[
-            F.first(F.when(F.col("attempt") == i, row), ignorenulls=True).alias(f"_{i}")
-            for i in range(sites.MAX_CANDIDATES)
-        ]
-    )
-    made, running = [], F.lit(True)
-    for i in range(sites.MAX_CANDIDATES):
-        made.append(F.when(running, F.col(f"_{i}")))
-        running = running & ~F.coalesce(F.col(f"_{i}.stop"), F.lit(False))
+    row = F.struct(*[c for c in attempts.columns if c in _ATTEMPT_FIELDS])
 
     def last(name: str) -> Column:
-        return F.try_element_at(F.filter("_made", lambda a: a[name].isNotNull()), F.lit(-1))
+        return F.max_by(row, F.when(F.col(name).isNotNull(), F.col("attempt")))
 
-    decided = per_company.withColumn("_made", F.array_compact(F.array(*made))).withColumns(
-        {"_site": last("status"), "_match": last("site_match_status"), "_error": last("fetch_error")}
+    decided = made.groupBy("cnpj").agg(
+        last("status").alias("_site"),
+        last("site_match_status").alias("_match"),
+        last("fetch_error").alias("_error"),
+        F.coalesce(F.bool_or("cnpj_on_site"), F.lit(False)).alias("cnpj_on_site"),
     )
     match = ("site_match_score", "site_validation_reasons", "site_match_status", "site_valid")
     failure = ("fetch_error", "retry_after_days", "retry_after_hours")
@@ -173,9 +170,7 @@ def decide_sites(attempts: DataFrame) -> DataFrame:
         *[f"_site.{c}" for c in ("candidate_url", "candidate_source", *_SITE_FIELDS)],
         *[f"_match.{c}" for c in match],
         *[f"_error.{c}" for c in failure],
-        F.exists("_made", lambda a: F.coalesce(a["cnpj_on_site"], F.lit(False))).alias(
-            "cnpj_on_site"
-        ),
+        "cnpj_on_site",
     )
 
 
@@ -221,7 +216,7 @@ def site_signals(profiled: DataFrame, decided: DataFrame, rollup: DataFrame) ->
             "site_redirect_count": F.coalesce("redirect_count", F.lit(0)),
             "site_reachable": S.flag("reachable"),
             "site_ativo": S.flag("reachable"),
-            "site_titulo": F.nullif(F.left("site_titulo", F.lit(250)), F.lit("")),
+            "site_titulo": F.nullif(F.col("site_titulo"), F.lit("")),
             "site_valid": S.flag("site_valid") & ~F.coalesce(F.col("status").isin(404, 410), F.lit(False)),
             "site_match_score": S.number("site_match_score"),
             "site_validation_reasons": F.coalesce("site_validation_reasons", _no_texts()),
@@ -270,23 +265,24 @@ def enrich(
     priority_cnaes=(),
     mei_penalty: int = 0,
     threshold: int = K.SITE_MATCH_THRESHOLD,
-    pages_per_site: int | None = K.CRAWL_PAGES_PER_SITE,
     version: str = K.ENRICHMENT_VERSION,
     hot_rows: int = skew.HOT_ROWS,
     save: Callable[[str, DataFrame], DataFrame] | None = None,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """New enrichment state of every candidate, ready for the S13 merge.
 
     ``facts`` is the (saved) result of ``analyze_pages``; ``candidates`` may carry
     ``enrich_attempts`` of the previous state. ``save`` writes a stage to the shared folder and
-    returns the table read back: the profile is used twice, and a lost executor then repeats one
+    returns the table read back; ``state`` (cnpj, email_dominio) is what is stored from earlier runs.
+    The profile is used twice, and a lost executor then repeats one
     stage instead of the whole chain.
     """
     save = save or (lambda _, rows: rows)
-    profiled = save("profile", profile(candidates, partners, providers, places, hot_rows))
+    profiled = save("profile", profile(candidates, partners, providers, places, hot_rows, state))
     attempts = match_sites(profiled, facts, threshold, hot_rows)
     decided = save("decided_sites", decide_sites(attempts))
-    rollup = save("site_rollup", pages.site_rollup(facts.filter("has_html"), pages_per_site))
+    rollup = save("site_rollup", pages.site_rollup(facts.filter("has_html")))
     rows = leads.enrich_status(site_signals(profiled, decided, rollup))
     rows = rows.withColumns(
         {

@@ -85,3 +85,11 @@ def test_shared_domains(spark, hot_rows):
     assert len(got) == 53
     assert {got[str(n)] for n in range(50)} == {49}
     assert (got["x"], got["y"], got["z"]) == (0, 0, 0)
+
+
+def test_a_batch_sees_the_domains_of_the_stored_companies(spark):
+    batch = spark.createDataFrame([("1", "a.com"), ("2", "b.com"), ("3", None)], "cnpj string, email_dominio string")
+    stored = spark.createDataFrame(
+        [("1", "b.com"), ("4", "a.com"), ("5", "a.com"), ("5", "a.com"), ("6", "")], "cnpj string, email_dominio string")
+    got = {r.cnpj: r.domain_shared_count for r in contacts.shared_domain_counts(batch, stored=stored).collect()}
+    assert got == {"1": 2, "2": 0, "3": 0}

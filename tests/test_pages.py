@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from fichario.functions import pages as P
 from fichario.functions import urls
@@ -158,6 +159,17 @@ def test_rollup(spark):
     row = pages.site_rollup(frame).first()
     assert (row.host, row.plataforma, row.plataforma_confianca) == ("loja.com.br", "shopify", 75)
     assert row.plataformas_detectadas == ["shopify", "magento"]
-    assert row.chat_provider == "tawk" and row.has_cart and row.has_checkout and not row.coming_soon
-    few = pages.site_rollup(frame, pages_per_site=2).first()
-    assert few.plataforma_confianca == 45 and not few.has_checkout
+    assert row.chat_provider == "tawk" and row.has_cart and row.has_checkout
+    assert row.coming_soon  # pages off the usual paths count too
+
+
+def test_rollup_reads_every_page_of_a_large_site(spark):
+    base = "https://www.loja.com.br"
+    rows = [(f"{base}/artigo/{n}", "<p>") for n in range(18)]
+    rows += [(base + "/home", "cdn.shopify.com"), (base + "/produtos/", "code.tawk.to /cart"), (base + "/zzz", "/checkout zendesk")]
+    frame = pages.page_signals(spark.createDataFrame(rows, "url string, html string"))
+    row = pages.site_rollup(frame).first()
+    assert (row.plataforma, row.chat_provider) == ("shopify", "tawk") and row.has_cart and row.has_checkout
+    order = spark.createDataFrame(
+        [(u,) for u in (base, base + "/", base + "//", base + "/produtos/?x", base + "/p", base + "/home")], "url string")
+    assert [r[0] for r in order.select(pages.visit_order(F.col("url"))).collect()] == [0, 0, 0, 1, 13, 14]

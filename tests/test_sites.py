@@ -177,3 +177,36 @@ def test_decide_keeps_what_earlier_attempts_left(spark):
     row = enrich.decide_sites(attempts).first()
     assert (row.status, row.site_match_score, row.site_match_status) == (503, 45, "partial_match")
     assert (row.fetch_error, row.retry_after_hours) == ("http_503", 24)
+
+
+def test_a_url_fetched_often_counts_once(spark):
+    """The latest fetch decides; without times the best answer does; the scheme makes no difference."""
+    schema = ("url string, status int, content_type string, error string, retry_after string,"
+              " redirect_count int, html string, fetched_at timestamp")
+    page = "<p>Loja Azul</p>"
+    rows = [
+        ("https://loja.com.br/", 503, "text/html", None, None, 0, None, "2024-01-01 00:00:00"),
+        ("http://loja.com.br/", 200, "text/html", None, None, 0, page, "2024-01-02 00:00:00"),
+        ("https://loja.com.br/", 200, "text/html", None, None, 0, "<p>old</p>", "2023-01-02 00:00:00"),
+    ]
+    log = spark.createDataFrame(rows, schema.replace("fetched_at timestamp", "t string")).withColumn(
+        "fetched_at", F.col("t").cast("timestamp")).drop("t")
+    facts = enrich.analyze_pages(log)
+    attempts = enrich.match_sites(company(spark), facts)
+    assert attempts.groupBy("cnpj", "attempt").count().filter("count > 1").count() == 0
+    assert enrich.decide_sites(attempts).first().site_match_score == 45
+    undated = enrich.analyze_pages(log.drop("fetched_at").filter("status = 503 or html = '<p>Loja Azul</p>'"))
+    assert enrich.decide_sites(enrich.match_sites(company(spark), undated)).first().status == 200
+
+
+def test_any_number_of_attempts_counts(spark):
+    rows = [("1", n, 500, False, None, f"http_{n}", False) for n in range(7)] + [("1", 7, 200, True, "validated", None, True)]
+    rows += [("1", 8, 404, False, None, "http_404", False)]
+    attempts = spark.createDataFrame(
+        rows, "cnpj string, attempt int, status int, site_valid boolean, site_match_status string,"
+        " fetch_error string, cnpj_on_site boolean")
+    empty = company(spark).limit(0)
+    full = enrich.match_sites(empty, enrich.analyze_pages(spark.createDataFrame(
+        [], "url string, status int, content_type string, error string, retry_after string, redirect_count int, html string")))
+    row = enrich.decide_sites(full.unionByName(attempts, allowMissingColumns=True)).first()
+    assert (row.status, row.site_match_status, row.fetch_error, row.cnpj_on_site) == (200, "validated", "http_6", True)
