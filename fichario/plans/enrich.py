@@ -37,6 +37,20 @@ _ATTEMPT_FIELDS = (
 )
 
 
+# Stored columns of a place: the column of the search result and its type.
+_PLACE_DETAILS = {
+    "google_place_id": ("place_id", "string"),
+    "google_place_name": ("display_name", "string"),
+    "google_place_address": ("formatted_address", "string"),
+    "google_place_phone": ("national_phone", "string"),
+    "google_place_website": ("website", "string"),
+    "google_rating": ("rating", "double"),
+    "google_rating_count": ("rating_count", "int"),
+    "google_maps_url": ("maps_url", "string"),
+    "google_business_status": ("business_status", "string"),
+}
+
+
 def analyze_pages(fetched: DataFrame) -> DataFrame:
     """Facts of every fetched URL: outcome, signals and normalised content.
 
@@ -66,9 +80,10 @@ def profile(
     places: DataFrame | None = None,
     hot_rows: int = skew.HOT_ROWS,
     state: DataFrame | None = None,
+    now: Column | None = None,
 ) -> DataFrame:
     """What is known about each candidate before looking at sites; ``state`` holds the companies
-    enriched earlier, whose e-mail domains count as well."""
+    enriched earlier, whose e-mail domains count as well and whose fresh places are kept."""
     rows = contacts.profile_contacts(candidates, partners, hot_rows, state).withColumns(
         {
             "site_url": F.lit(None).cast("string"),
@@ -81,30 +96,53 @@ def profile(
     if providers is not None:
         rows = sites.overlay_provider(rows, providers)
     if places is not None:
-        rows = _overlay_places(rows, places, hot_rows)
+        rows = _overlay_places(rows, places, hot_rows, state, now)
     return rows
 
 
-def _overlay_places(rows: DataFrame, places: DataFrame, hot_rows: int) -> DataFrame:
-    """The best place sets its columns; its website takes precedence over any other site."""
-    best = sites.best_places(sites.place_scores(places, rows, hot_rows)).select(
+def _overlay_places(
+    rows: DataFrame, places: DataFrame, hot_rows: int, state: DataFrame | None, now: Column | None
+) -> DataFrame:
+    """The place of each company with its details; its website takes precedence over any other site.
+
+    A place of ``state`` whose check is still fresh (R5) is kept as it was, check time included; the
+    other companies take the best of the searched ``places``, checked ``now``.
+    """
+    names = [*_PLACE_DETAILS, "google_place_match_score", "google_places_checked_at"]
+    searched = places
+    cached = None
+    if state is not None and now is not None and {"google_place_id", "google_places_checked_at"} <= set(state.columns):
+        cached = state.filter(queue.place_is_cached(now)).select(
+            "cnpj", *[c for c in names if c in state.columns]
+        )
+        searched = places.join(cached.select("cnpj"), "cnpj", "left_anti")
+    best = sites.best_places(sites.place_scores(searched, rows, hot_rows))
+    found = best.select(
         "cnpj",
-        F.col("google_place_match_score").alias("_score"),
-        F.col("place_id").alias("google_place_id"),
-        F.col("business_status").alias("_status"),
-        F.nullif(F.col("website"), F.lit("")).alias("_website"),
+        "google_place_match_score",
+        *[
+            (F.col(source) if source in best.columns else F.lit(None)).cast(kind).alias(name)
+            for name, (source, kind) in _PLACE_DETAILS.items()
+        ],
+        (F.lit(None) if now is None else now).cast("timestamp").alias("google_places_checked_at"),
     )
-    found = F.col("_score").isNotNull()
-    use_site = F.col("_website").isNotNull()
-    return rows.join(best, "cnpj", "left").withColumns(
+    if cached is not None:
+        found = found.unionByName(cached, allowMissingColumns=True)
+    known = found.select("cnpj", *[F.col(c).alias(f"_{c}") for c in names])
+    website = F.nullif(F.col("_google_place_website"), F.lit(""))
+    return rows.drop(*names).join(known, "cnpj", "left").withColumns(
         {
-            "google_place_match_score": F.coalesce("_score", F.lit(0)),
-            "google_business_status": F.col("_status"),
-            "site_url": F.coalesce("_website", "site_url"),
-            "site_source": F.when(use_site, "google_places").otherwise(F.col("site_source")),
-            "retry_reason": F.when(~found, "google_places_no_result"),
+            "google_place_match_score": F.coalesce("_google_place_match_score", F.lit(0)),
+            "google_places_checked_at": F.col("_google_places_checked_at"),
+            **{c: F.col(f"_{c}") for c in _PLACE_DETAILS},
+            "site_url": F.coalesce(website, "site_url"),
+            "site_source": F.when(website.isNotNull(), "google_places").otherwise(F.col("site_source")),
+            "retry_reason": F.when(
+                F.col("_google_place_match_score").isNull() & F.col("_google_place_id").isNull(),
+                "google_places_no_result",
+            ),
         }
-    ).drop("_score", "_status", "_website")
+    ).drop(*[f"_{c}" for c in names])
 
 
 def match_sites(
@@ -279,7 +317,7 @@ def enrich(
     stage instead of the whole chain.
     """
     save = save or (lambda _, rows: rows)
-    profiled = save("profile", profile(candidates, partners, providers, places, hot_rows, state))
+    profiled = save("profile", profile(candidates, partners, providers, places, hot_rows, state, now))
     attempts = match_sites(profiled, facts, threshold, hot_rows)
     decided = save("decided_sites", decide_sites(attempts))
     rollup = save("site_rollup", pages.site_rollup(facts.filter("has_html")))
