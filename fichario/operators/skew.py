@@ -11,11 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys are spread; any key beyond them holds less than a thousandth of the rows.
-MAX_HOT_KEYS = 1_000
-# A key with fewer rows than this fits one task.
+# A key with fewer rows than this fits one task; a larger one is cut into parts of about this size.
 HOT_ROWS = 1_000_000
-SALTS = 64
 
 
 def key_counts(rows: DataFrame, key: str) -> DataFrame:
@@ -23,30 +20,28 @@ def key_counts(rows: DataFrame, key: str) -> DataFrame:
 
 
 def hot_keys(counts: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The largest keys of ``counts`` (key, n): at most MAX_HOT_KEYS rows, so safe to broadcast."""
-    return (
-        counts.filter((F.col("n") >= hot_rows) & F.col(key).isNotNull())
-        .orderBy(F.col("n").desc(), key)
-        .limit(MAX_HOT_KEYS)
-        .select(F.col(key).alias("_hot_key"))
+    """All keys of ``counts`` (key, n) with at least ``hot_rows`` rows, and their number of salts.
+
+    There are at most (rows / hot_rows) of them, so the list may be broadcast: a table of 1e12 rows
+    gives a million entries at the most, some 40 MB.
+    """
+    return counts.filter((F.col("n") >= hot_rows) & F.col(key).isNotNull()).select(
+        F.col(key).alias("_hot_key"), F.ceil(F.col("n") / hot_rows).cast("int").alias("_salts")
     )
 
 
 def add_salt(rows: DataFrame, key: str, hot: DataFrame, identity: list[str]) -> DataFrame:
-    """Many side: rows of a hot key are spread over SALTS values of ``_salt``, others get 0."""
+    """Many side: rows of a hot key are spread over its salts in ``_salt``, others get 0."""
     marked = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    spread = F.pmod(F.xxhash64(*identity), F.lit(SALTS)).cast("int")
-    salt = F.when(F.col("_hot_key").isNotNull(), spread).otherwise(0)
-    return marked.withColumn("_salt", salt).drop("_hot_key")
+    spread = F.pmod(F.xxhash64(*identity), F.coalesce("_salts", F.lit(1))).cast("int")
+    return marked.withColumn("_salt", spread).drop("_hot_key", "_salts")
 
 
 def copy_per_salt(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """One side: rows of a hot key are copied for every salt, others keep salt 0."""
     marked = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    salts = F.when(
-        F.col("_hot_key").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))
-    ).otherwise(F.array(F.lit(0)))
-    return marked.withColumn("_salt", F.explode(salts)).drop("_hot_key")
+    salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    return marked.withColumn("_salt", F.explode(salts)).drop("_hot_key", "_salts")
 
 
 def spread_join(
