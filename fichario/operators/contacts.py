@@ -70,24 +70,26 @@ def domain_counts(companies: DataFrame, stored: DataFrame | None = None) -> Data
 
 
 def shared_domain_counts(
-    companies: DataFrame, hot_rows: int = skew.HOT_ROWS, stored: DataFrame | None = None
+    companies: DataFrame,
+    hot_rows: int = skew.HOT_ROWS,
+    stored: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """For each company the number of other companies with the same e-mail domain.
 
     ``companies`` has one row per ``cnpj``; ``stored`` (cnpj, email_dominio) holds the companies known
-    from before, so that a batch sees the domains of all of them. Domains are counted with partial
-    aggregation and the counts joined back; the heavy free-mail domains are spread, missing domains
-    skip the join.
+    from before, so that a batch sees the domains of all of them. ``counts`` may be passed where
+    ``domain_counts`` has been made of a narrower table. The counts are joined back once; heavy
+    free-mail domains and missing ones are spread.
     """
-    with_domain = companies.filter(F.col("email_dominio") != "")
-    counts = domain_counts(companies, stored)
+    counts = domain_counts(companies, stored) if counts is None else counts
+    per_domain = counts.withColumnRenamed("email_dominio", "_domain")
+    rows = companies.withColumn("_domain", F.nullif(F.col("email_dominio"), F.lit("")))
     counted = skew.spread_join(
-        with_domain, counts, "email_dominio", ["cnpj"], counts=counts, hot_rows=hot_rows
-    ).withColumn("domain_shared_count", F.col("n") - 1).drop("n")
-    without = companies.filter(F.coalesce(F.col("email_dominio"), F.lit("")) == "").withColumn(
-        "domain_shared_count", F.lit(0).cast("bigint")
+        rows, per_domain, "_domain", ["cnpj"], "left", counts=per_domain, hot_rows=hot_rows
     )
-    return counted.unionByName(without).withColumn(
+    shared = F.coalesce(F.col("n") - 1, F.lit(0)).cast("bigint")
+    return counted.withColumn("domain_shared_count", shared).drop("_domain", "n").withColumn(
         "domain_is_shared", F.col("domain_shared_count") >= 3
     )
 
@@ -103,4 +105,5 @@ def profile_contacts(
     with_person = skew.spread_join(
         profiled, decision_makers(partners), "cnpj_basico", ["cnpj"], "left", hot_rows=hot_rows
     )
-    return shared_domain_counts(with_person, hot_rows, stored)
+    # Domains are counted before the join, from two columns of the candidates.
+    return shared_domain_counts(with_person, hot_rows, counts=domain_counts(profiled, stored))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 # A key with fewer rows than this fits one task; a larger one is cut into parts of about this size.
 HOT_ROWS = 1_000_000
+NULL_SALTS = 4_096
 
 
 def key_counts(rows: DataFrame, key: str) -> DataFrame:
@@ -31,9 +32,11 @@ def hot_keys(counts: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame
 
 
 def add_salt(rows: DataFrame, key: str, hot: DataFrame, identity: list[str]) -> DataFrame:
-    """Many side: rows of a hot key are spread over its salts in ``_salt``, others get 0."""
+    """Many side: rows of a hot key are spread over its salts in ``_salt``, others get 0. Rows
+    without a key match nothing and are spread as well."""
     marked = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    spread = F.pmod(F.xxhash64(*identity), F.coalesce("_salts", F.lit(1))).cast("int")
+    salts = F.when(F.col(key).isNull(), NULL_SALTS).otherwise(F.coalesce("_salts", F.lit(1)))
+    spread = F.pmod(F.xxhash64(*identity), salts).cast("int")
     return marked.withColumn("_salt", spread).drop("_hot_key", "_salts")
 
 
