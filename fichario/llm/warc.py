@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fichario.llm.common import saved, small_batches
@@ -156,19 +156,15 @@ def write(pages: DataFrame, frame_bytes: int = FRAME_BYTES) -> DataFrame:
     spark = pages.sparkSession
     small_batches(spark, 100)
     folder = new_folder(spark, "warc")
-    marked = pages.select("page_id", "url", "html").join(
-        _revisits(pages), ["page_id"], "left")
+    marked = pages.select("page_id", "url", "html", _payload_hash().alias("d")).join(
+        _revisits(pages), ["page_id", "d"], "left")
 
     def write_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, bundle = TaskContext.get().partitionId(), None
         for batch in batches:
             rows = []
             for row in batch.to_pylist():
-                payload = (row["html"] or "").encode()
-                target = None
-                if row["refs"] is not None:
-                    own = hashlib.sha1(payload).hexdigest()
-                    target = next((r["refers_to"] for r in row["refs"] if r["d"] == own), None)
+                payload, target = (row["html"] or "").encode(), row["refers_to"]
                 if bundle is not None and len(bundle.frames) >= FRAMES_OF_A_BUNDLE:
                     bundle.close()
                     bundle = None
@@ -184,17 +180,19 @@ def write(pages: DataFrame, frame_bytes: int = FRAME_BYTES) -> DataFrame:
         marked.mapInArrow(write_part, "page_id long, path string, frame long, place long"), "warc-index")
 
 
+def _payload_hash() -> Column:
+    return F.sha1(F.coalesce(F.col("html"), F.lit("")).cast("binary"))
+
+
 def _revisits(pages: DataFrame) -> DataFrame:
-    """page_id, refs: for each page that repeats another, digest and response (one per payload)."""
-    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    marks = saved(pages.select("page_id", F.sha1(payload).alias("d")), "digests")
+    """page_id, d, refers_to of the pages that repeat the payload of a page with a smaller id. Only
+    ids and digests are shuffled; the smallest id of a payload is found before its copies meet."""
+    marks = saved(pages.select("page_id", _payload_hash().alias("d")), "digests")
     first = saved(
         marks.groupBy("d").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("c"))
         .filter("c > 1").drop("c"), "first-pages")
-    later = marks.join(first, "d").filter("page_id > refers_to").select("page_id", "d", "refers_to")
-    return saved(
-        later.distinct().groupBy("page_id").agg(
-            F.collect_list(F.struct("d", "refers_to")).alias("refs")), "revisits")
+    later = marks.join(first, "d").filter("page_id > refers_to").distinct()
+    return saved(later.select("page_id", "d", "refers_to"), "revisits")
 
 
 def _number(mark: str | None) -> int | None:
