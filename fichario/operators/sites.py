@@ -7,7 +7,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructType
 
 from fichario import constants as K
 from fichario.functions import urls
@@ -17,6 +17,10 @@ from fichario.functions.text import digits, normalize_text, normalize_word, tail
 from fichario.operators import skew
 
 
+# Similarities from which a trade or legal name counts as the place's.
+TRADE_FLOOR, LEGAL_FLOOR = 0.75, 0.70
+
+
 def _text(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
@@ -216,31 +220,54 @@ def best_attempts(attempts: DataFrame, fields: list[str]) -> DataFrame:
     )
 
 
-@F.pandas_udf(DoubleType())
-def _ratio(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Sequence similarity of two normalised names; NULL where no comparison is wanted."""
-    return pd.Series(
-        [
-            None if a is None or b is None else SequenceMatcher(None, a, b).ratio()
-            for a, b in zip(left, right)
-        ],
-        dtype="float64",
-    )
+@F.pandas_udf(StructType().add("trade", DoubleType()).add("legal", DoubleType()))
+def _ratios(display: pd.Series, trade: pd.Series, legal: pd.Series) -> pd.DataFrame:
+    """Sequence similarity of a name to a trade and a legal name; NULL where no comparison is wanted.
+    The legal name is compared only where the trade name does not reach TRADE_FLOOR."""
 
+    def ratio(a: str | None, b: str | None) -> float | None:
+        return None if a is None or b is None else SequenceMatcher(None, a, b).ratio()
 
-def name_similarity(a: Column, b: Column, floor: float) -> Column:
-    """Similarity of two normalised names where it can reach ``floor``, else 0.
+    rows = []
+    for name, first, second in zip(display, trade, legal):
+        found = ratio(name, first)
+        rows.append((found, ratio(name, second) if found is None or found < TRADE_FLOOR else None))
+    return pd.DataFrame(rows, columns=["trade", "legal"], dtype="float64")
 
-    Equal names are 1 at once, and the ratio cannot exceed 2 * shorter / (both lengths): only
-    pairs that neither rule settles leave the JVM.
-    """
+
+def _open_case(a: Column, b: Column, floor: float) -> Column:
+    """Pairs that only the full comparison settles: not equal, and the ratio, at most 2 * shorter /
+    (both lengths), can reach ``floor``."""
     sizes = F.length(a) + F.length(b)
-    reachable = 2.0 * F.least(F.length(a), F.length(b)) >= floor * sizes
-    open_case = (a != b) & reachable
-    ratio = _ratio(F.when(open_case, a), F.when(open_case, b))
+    return (a != b) & (2.0 * F.least(F.length(a), F.length(b)) >= floor * sizes)
+
+
+def name_similarity(a: Column, b: Column, floor: float) -> Column:
+    """Similarity of two normalised names where it can reach ``floor``, else 0; equal names are 1."""
+    open_case = _open_case(a, b, floor)
+    none = F.lit(None).cast("string")
+    ratio = _ratios(F.when(open_case, a), F.when(open_case, b), none)["trade"]
     return F.when(a == b, 1.0).otherwise(F.coalesce(ratio, F.lit(0.0)))
 
 
+def with_similarities(pairs: DataFrame) -> DataFrame:
+    """``_trade`` and ``_legal``, the similarities of ``_display`` to ``_fantasia`` and ``_razao``, by
+    one call per pair. The legal name counts only where the trade name does not."""
+    display, trade, legal = F.col("_display"), F.col("_fantasia"), F.col("_razao")
+    equal = F.coalesce(display == trade, F.lit(False))
+    first = _open_case(display, trade, TRADE_FLOOR)
+    second = _open_case(display, legal, LEGAL_FLOOR) & ~equal
+    compared = pairs.withColumn(
+        "_ratios", _ratios(
+            F.when(F.coalesce(first, F.lit(False)) | F.coalesce(second, F.lit(False)), display),
+            F.when(first, trade), F.when(second, legal)))
+    found = compared.withColumn(
+        "_trade", F.when(equal, 1.0).otherwise(F.coalesce("_ratios.trade", F.lit(0.0))))
+    similar = F.when(display == legal, 1.0).otherwise(F.coalesce("_ratios.legal", F.lit(0.0)))
+    return found.withColumn(
+        "_legal", F.when(F.col("_trade") < TRADE_FLOOR, similar).otherwise(0.0)).drop("_ratios")
+
+
 def place_scores(
     places: DataFrame, companies: DataFrame, hot_rows: int = skew.HOT_ROWS
 ) -> DataFrame:
@@ -268,11 +295,7 @@ def place_scores(
             "_city": normalize_text(F.col("municipio_descricao")),
         }
     )
-    display = F.col("_display")
-    prepared = prepared.withColumn("_trade", name_similarity(display, F.col("_fantasia"), 0.75))
-    # The legal name counts only where the trade name does not.
-    legal = F.when(F.col("_trade") < 0.75, F.col("_razao"))
-    prepared = prepared.withColumn("_legal", name_similarity(display, legal, 0.70))
+    prepared = with_similarities(prepared)
     address, city = F.col("_address"), F.col("_city")
     street = F.left(normalize_text(F.col("logradouro")), F.lit(20))
     address_digits = digits(_text("formatted_address"))
@@ -281,7 +304,7 @@ def place_scores(
     phone = tail(digits(_text("telefone_1")), 10)
     state = F.concat(F.lit(" "), F.lower(_text("uf")), F.lit(" "))
     padded = F.concat(F.lit(" "), address, F.lit(" "))
-    score = first_of((F.col("_trade") >= 0.75, 30), (F.col("_legal") >= 0.70, 20)) + points(
+    score = first_of((F.col("_trade") >= TRADE_FLOOR, 30), (F.col("_legal") >= LEGAL_FLOOR, 20)) + points(
         ((city != "") & F.contains(address, city), 10),
         ((city != "") & ~F.contains(address, city), -40),
         ((_text("uf") != "") & F.contains(padded, state), 10),
