@@ -26,30 +26,33 @@ class Dataset:
 
 # Column order of the release files.
 _COMPANY = (
-    "cnpj_basico razao_social natureza_juridica qualificacao_responsavel capital_social porte "
-    "ente_federativo_responsavel"
+    "cnpj_basico", "razao_social", "natureza_juridica", "qualificacao_responsavel",
+    "capital_social", "porte", "ente_federativo_responsavel",
 )
 _BRANCH = (
-    "cnpj_basico cnpj_ordem cnpj_dv identificador_matriz_filial nome_fantasia situacao_cadastral "
-    "data_situacao_cadastral motivo_situacao_cadastral nome_cidade_exterior pais "
-    "data_inicio_atividade cnae_fiscal_principal cnaes_fiscais_secundarios tipo_logradouro "
-    "logradouro numero complemento bairro cep uf municipio ddd1 telefone1 ddd2 telefone2 ddd_fax "
-    "fax correio_eletronico situacao_especial data_situacao_especial"
+    "cnpj_basico", "cnpj_ordem", "cnpj_dv", "identificador_matriz_filial", "nome_fantasia",
+    "situacao_cadastral", "data_situacao_cadastral", "motivo_situacao_cadastral",
+    "nome_cidade_exterior", "pais", "data_inicio_atividade", "cnae_fiscal_principal",
+    "cnaes_fiscais_secundarios", "tipo_logradouro", "logradouro", "numero", "complemento",
+    "bairro", "cep", "uf", "municipio", "ddd1", "telefone1", "ddd2", "telefone2", "ddd_fax",
+    "fax", "correio_eletronico", "situacao_especial", "data_situacao_especial",
 )
 _PARTNER = (
-    "cnpj_basico identificador_socio nome_socio_razao_social cpf_cnpj_socio qualificacao_socio "
-    "data_entrada_sociedade pais representante_legal nome_representante "
-    "qualificacao_representante faixa_etaria"
+    "cnpj_basico", "identificador_socio", "nome_socio_razao_social", "cpf_cnpj_socio",
+    "qualificacao_socio", "data_entrada_sociedade", "pais", "representante_legal",
+    "nome_representante", "qualificacao_representante", "faixa_etaria",
 )
 _SIMPLES = (
-    "cnpj_basico opcao_simples data_opcao_simples data_exclusao_simples opcao_mei data_opcao_mei "
-    "data_exclusao_mei"
+    "cnpj_basico", "opcao_simples", "data_opcao_simples", "data_exclusao_simples", "opcao_mei",
+    "data_opcao_mei", "data_exclusao_mei",
+)
+_LOOKUP = (
+    "codigo", "descricao",
 )
-_LOOKUP = "codigo descricao"
 
 # Order matters: a file belongs to the first kind whose name it contains.
 DATASETS: dict[str, Dataset] = {
-    kind: Dataset(kind, table, tuple(columns.split()), key)
+    kind: Dataset(kind, table, columns, key)
     for kind, table, columns, key in (
         ("Empresas", "empresas", _COMPANY, "cnpj_basico"),
         ("Estabelecimentos", "estabelecimentos", _BRANCH, "cnpj"),
@@ -65,10 +68,11 @@ DATASETS: dict[str, Dataset] = {
 }
 
 # Columns that hold a yyyymmdd date.
-DATE_COLUMNS = frozenset(
-    "data_situacao_cadastral data_inicio_atividade data_situacao_especial data_entrada_sociedade "
-    "data_opcao_simples data_exclusao_simples data_opcao_mei data_exclusao_mei".split()
-)
+DATE_COLUMNS = frozenset((
+    "data_situacao_cadastral", "data_inicio_atividade", "data_situacao_especial",
+    "data_entrada_sociedade", "data_opcao_simples", "data_exclusao_simples", "data_opcao_mei",
+    "data_exclusao_mei",
+))
 
 # Amount columns, stored as DECIMAL(18,2).
 AMOUNT_COLUMNS = frozenset({"capital_social"})
