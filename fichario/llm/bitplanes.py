@@ -37,7 +37,7 @@ MAGIC = b"BPLN"
 HEADER, TRAILER = struct.Struct("<4sHBBI"), struct.Struct("<QQQQQ4s")
 BLOCK_IDS = 65_536
 LEVEL = 3
-CACHED_WORDS = 250_000
+CACHED_WORDS = 400_000
 CACHED_CHARS = 64
 
 
@@ -151,50 +151,66 @@ class Reader:
             start, count = start + len(piece), count - len(piece)
 
 
-class _Words(dict):
-    """Ids of words met before by the library itself; bounded, emptied when full."""
+class Encoder:
+    """Ids by the library, as bytes. The file's tokenizer drops white space, never merges over it and
+    lowers case, so every part between spaces has ids of its own, and parts that return are not
+    encoded again. What is kept is bounded: when full, only parts that returned stay; long parts are
+    never kept."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-
-    def fill(self, words: set[str]) -> dict[str, list[int]]:
-        """Adds the words that are missing; the long ones are returned instead of kept."""
-        missing = [w for w in words if w not in self]
-        if len(self) + len(missing) > CACHED_WORDS:
-            self.clear()
-            missing = list(words)
-        found = self.library.encode_batch_fast(missing, add_special_tokens=False)
-        ids = {w: f.ids for w, f in zip(missing, found)}
-        long = {w: i for w, i in ids.items() if len(w) > CACHED_CHARS}
-        self.update((w, i) for w, i in ids.items() if w not in long)
-        return long
+        specials = self.library.get_added_tokens_decoder()
+        self.mark_id, self.mark = next((i, t.content) for i, t in specials.items() if t.special)
+        self.known: dict[str, bytes] = {}
+        self.returned: set[str] = set()
+
+    @staticmethod
+    def parts(text: str | None) -> list[str]:
+        text = text or ""
+        if "<|" not in text:  # names of special tokens keep their case
+            text = text.encode().lower().decode()  # ASCII letters only; the library lowers the rest
+        return text.replace("\n", " ").split(" ")
+
+    def _fill(self, missing: list[str]) -> None:
+        """One call for all: a special token between the parts marks where they end."""
+        plain = [p for p in missing if "<|" not in p]
+        joined = self.library.encode_batch_fast([self.mark.join(plain)], add_special_tokens=False)
+        ids = np.array(joined[0].ids, "<u4")
+        ends = (np.flatnonzero(ids == self.mark_id) * 4).tolist()
+        data = ids.tobytes()
+        for part, begin, end in zip(plain, [0, *(e + 4 for e in ends)], [*ends, len(data)]):
+            self.known[part] = data[begin:end]
+        for part in missing:
+            if "<|" in part:
+                found = self.library.encode(part, add_special_tokens=False)
+                self.known[part] = np.array(found.ids, "<u4").tobytes()
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        split = list(map(self.parts, texts))
+        wanted = set().union(*split)
+        if len(self.known) > CACHED_WORDS:
+            stay = self.returned if len(self.returned) < CACHED_WORDS // 2 else ()
+            self.known = {part: self.known[part] for part in stay}
+            self.returned = set()
+        missing = [part for part in wanted if part not in self.known]
+        self.returned.update(wanted.difference(missing))
+        self._fill(missing)
+        look = self.known.__getitem__
+        out = [b"".join(map(look, parts)) for parts in split]
+        for part in missing:
+            if len(part) > CACHED_CHARS:
+                del self.known[part]
+        return out
 
 
 @lru_cache(2)
-def _words(path: str) -> _Words:
+def encoder(path: str) -> Encoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
-    return _Words(path)
-
-
-def encode(text: str | None, path: str, end_id: int) -> np.ndarray:
-    """Ids of a text and the end id. The file's tokenizer drops white space and never merges over it,
-    so every part between spaces is encoded by itself, and parts that return are not encoded again."""
-    known = _words(path)
-    parts = (text or "").replace("\n", " ").split(" ")
-    look = known.__getitem__
-    try:
-        groups = list(map(look, parts))
-    except KeyError:
-        long = known.fill(set(parts))
-        groups = [long[p] if p in long else look(p) for p in parts] if long else list(map(look, parts))
-    ids = [i for group in groups for i in group]
-    ids.append(end_id)
-    return np.array(ids, "<u4")
+    return Encoder(path)
 
 
 def write(docs: DataFrame, path: str, end_id: int = 1, planes: int = 4) -> DataFrame:
@@ -207,7 +223,7 @@ def write(docs: DataFrame, path: str, end_id: int = 1, planes: int = 4) -> DataF
     """
     spark = docs.sparkSession
     small_batches(spark, 200)
-    folder = new_folder(spark, "planes")
+    folder, end = new_folder(spark, "planes"), np.array([end_id], "<u4").tobytes()
 
     def write_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, out = TaskContext.get().partitionId(), None
@@ -215,8 +231,9 @@ def write(docs: DataFrame, path: str, end_id: int = 1, planes: int = 4) -> DataF
             if out is None:
                 uri = new_file(folder, f"ids-{part:06d}", ".bpl")
                 out = Writer(uri, planes)
-            for doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text"))):
-                out.add(doc_id, encode(text, path, end_id))
+            texts = encoder(path).encode(batch.column("text").to_pylist())
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), texts):
+                out.add(doc_id, np.frombuffer(ids + end, "<u4"))
         if out is not None:
             n_docs, n_ids = out.close()
             yield pa.RecordBatch.from_pydict({
