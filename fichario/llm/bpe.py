@@ -28,7 +28,7 @@ from fichario.llm.common import small_batches
 
 BLOCK_BYTES = 1_024
 WINDOW_CHARS = 65_536
-CACHED_WORDS = 250_000
+CACHED_WORDS = 150_000
 CACHED_CHARS = 64
 
 # Fixed value: the pattern that byte-level BPE cuts text with before merging.
@@ -132,16 +132,19 @@ def merge(vocabulary: Vocabulary, data: bytes) -> list[int]:
 
 
 class Bounded(dict):
-    """Results by text, worked out when first asked for; emptied when full, long texts not kept."""
+    """Results by text, worked out when first asked for. When full it becomes the older generation,
+    from which what is asked for again comes back; so it holds at most 2 * CACHED_WORDS. Long texts
+    are not kept."""
 
     def __init__(self, work):
         super().__init__()
-        self.work = work
+        self.work, self.older = work, {}
 
     def __missing__(self, text: str):
-        result = self.work(text)
+        result = self.older[text] if text in self.older else self.work(text)
         if len(text) <= CACHED_CHARS:
             if len(self) >= CACHED_WORDS:
+                self.older = dict(self)
                 self.clear()
             self[text] = result
         return result
