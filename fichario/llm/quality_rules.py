@@ -198,14 +198,16 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **promise)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **promise) -> DataFrame:
-    """The rows of docs that the rules keep, with their columns. The cutoffs come from the labelled
-    rows; then every row is judged where it lies, so that no text is shuffled."""
-    some = docs.select("doc_id", "text", stratum).join(
-        one_label(labels).select("doc_id"), "doc_id", "left_semi")
-    measures = measured(some, stratum).select(
+    """The rows of docs that the rules keep, with their columns. The cutoffs come from the measures of
+    the labelled rows, joined without texts; then every row is measured again and judged where it
+    lies, so that no text is ever shuffled."""
+    measures = measured(docs.select("doc_id", "text", stratum), stratum).select(
         F.col("__row.doc_id").alias("doc_id"), "stratum", *RULES, "base_failed")
     limits = certified(saved(measures, "measures"), labels, **promise)
-    return judged(measured(docs, stratum), limits).filter("kept").select("__row.*")
+    # The generator keeps the filter above the measures: pushed below, it would repeat them for every rule.
+    measures = measured(docs, stratum).select(
+        "__row", F.inline(F.array(F.struct("stratum", *RULES, "base_failed"))))
+    return judged(measures, limits).filter("kept").select("__row.*")
 
 
 SQL = f"""
