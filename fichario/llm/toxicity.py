@@ -7,8 +7,8 @@ come from models fitted on all folds. The decision threshold is the one with the
 out-of-fold predictions of the last link.
 
 Features: words and the beginnings of longer words are hashed into 2^20 buckets; the buckets whose share of toxic documents differs from
-the others' beyond chance are used, counted over all labelled documents. The models are fitted on a
-bounded sample of the labelled rows (TRAIN_ROWS); the statistics and the scoring cover everything.
+the others' beyond chance are used. Features and models are fitted on a bounded sample of the
+labelled rows (TRAIN_ROWS); the scoring covers everything.
 """
 
 from __future__ import annotations
@@ -21,12 +21,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fichario.llm.common import saved, small_batches
+from fichario.llm.common import saved, text_key
 
 BUCKETS = 1 << 20
 MIN_Z = 6.0  # about one chance in a thousand that any of 2^20 buckets gets there
 MAX_FEATURES = 4_096  # the strongest buckets: the size of the model
-TRAIN_ROWS = 50_000
+TRAIN_ROWS = 20_000  # labels that the chain is fitted on
 FOLDS = 3
 LASSO = 3e-4
 PREFIXES = (4, 5)  # letters: inflected and made-up forms share a stem
@@ -49,9 +49,9 @@ def bucket(word: Column) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")
 
 
-def buckets(text: str = "text") -> Column:
-    """Distinct buckets of a whole text: its words, and the beginnings of its longer words."""
-    found = plain_words(text)
+def buckets(found: Column) -> Column:
+    """Distinct buckets of a text's words and of the beginnings of its longer words. The words should
+    be a column of their own, so that a text is split once."""
     long = F.filter(found, lambda w: F.length(w) > max(PREFIXES))
 
     def begun(n: int) -> Column:
@@ -208,24 +208,30 @@ def _numbered(features: list[int]) -> Column:
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[Chain, np.ndarray, np.ndarray]:
     """The chain; out-of-fold probabilities and targets of the sample it was fitted on.
 
-    Labels without a document, and documents without a label, do not count. Repeated documents count
-    as often as they come, all in one fold.
+    The sample is drawn from the labels by a hash: about `rows` of them, few enough to be sent to the
+    texts, which therefore stay where they are. Labels without a document, and documents without a
+    label, do not count; of documents that share an id the one with the smallest text hash does.
     """
-    word = plain_words()
-    hits = [F.arrays_overlap(word, F.array(*map(F.lit, lexicon))).cast("int").alias(c)
+    known = one_label(labels)
+    share = min(1.0, rows / max(1, known.count()))
+    key = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(FOLDS * (1 << 28)))
+    picked = saved(
+        known.withColumn("key", key).filter(F.floor(F.col("key") / FOLDS) < int(share * (1 << 28)))
+        .select("doc_id", "toxic", F.pmod("key", F.lit(FOLDS)).cast("int").alias("fold")), "toxic-sample")
+    hits = [F.arrays_overlap("words", F.array(*map(F.lit, lexicon))).cast("int").alias(c)
             for c, lexicon in CATEGORIES.items()]
+    fields = ["toxic", "fold", *CATEGORIES, "buckets"]
+    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select(
+        "doc_id", "toxic", "fold", text_key().alias("k"), plain_words().alias("words"))
+    found = texts.select(
+        "doc_id", "k", "toxic", "fold", *hits, buckets(F.col("words")).alias("buckets"))
     labelled = saved(
-        docs.select("doc_id", "text").join(one_label(labels), "doc_id").select(
-            "doc_id", "toxic", *hits, buckets().alias("buckets")), "toxic-labelled")
+        found.groupBy("doc_id").agg(F.min(F.struct("k", *fields)).alias("x")).select("x.*"), "toxic-labelled")
     totals = labelled.agg(F.count_if(F.col("toxic") > 0).alias("t"), F.count("*").alias("n")).first()
     n_toxic, n_clean = totals.t, totals.n - totals.t
     features = selected(labelled, n_toxic, n_clean) if n_toxic and n_clean else []
-    share = min(1.0, rows / max(1, totals.n))
-    key = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(FOLDS * (1 << 28)))
-    sample = labelled.withColumn("key", key).filter(
-        F.floor(F.col("key") / FOLDS) < int(share * (1 << 28))).select(
-        F.pmod("key", F.lit(FOLDS)).cast("int").alias("fold"), "toxic", *CATEGORIES,
-        _numbered(features).alias("buckets")).toPandas()
+    sample = labelled.select(
+        "fold", "toxic", *CATEGORIES, _numbered(features).alias("buckets")).toPandas()
     place = {b: n for n, b in enumerate(features)}
     lists = [[place[b] for b in x] for x in sample["buckets"]]
     toxic = sample["toxic"].to_numpy(np.int64).reshape(-1, 1)
@@ -246,7 +252,9 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
             yield pd.DataFrame(chain.probabilities(rows), columns=names)
 
     scorer = F.pandas_udf(run, ", ".join(f"{c} double" for c in names))
-    found = docs.select("doc_id", buckets().alias("buckets")).select("doc_id", _numbered(chain.features).alias("b"))
+    split = docs.select("doc_id", plain_words().alias("words"))
+    hashed = split.select("doc_id", buckets(F.col("words")).alias("buckets"))
+    found = hashed.select("doc_id", _numbered(chain.features).alias("b"))
     return found.select("doc_id", scorer("b").alias("p")).select("doc_id", "p.*").withColumn(
         "is_toxic", F.col("p_toxic") >= chain.threshold)
 

@@ -26,7 +26,8 @@ def test_threshold_of_separated_and_empty_targets():
 
 
 def test_held_out_documents(spark):
-    folder = "/root/testdata/sf0.01"
+    """On the largest plain folder: the smaller ones have too few toxic labels in four languages."""
+    folder = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     chain, _, _ = x.train(docs, labels.filter("doc_id % 4 <> 1"))
@@ -34,7 +35,7 @@ def test_held_out_documents(spark):
     found = {r.doc_id: r.is_toxic for r in x.score(docs, chain).collect()}
     clean = [found[i] for i, t in held.items() if not t]
     toxic = [found[i] for i, t in held.items() if t]
-    assert np.mean(clean) < 0.05 and np.mean(toxic) > 0.7
+    assert np.mean(clean) < 0.02 and np.mean(toxic) > 0.9
 
 
 def test_whole_query(spark):
@@ -44,8 +45,9 @@ def test_whole_query(spark):
 
 
 def test_odd_rows(spark):
-    rows = [(n, f"you utter moron number {n}" if n % 3 == 0 else f"a kind word number {n}", 0) for n in range(300)]
-    rows += [(400, None, 0), (401, "", 0), (None, "what a moron", 0), (402, "moron " * 50_000, 0), (3, "you utter moron number 3", 0)]
+    # one word tells the classes apart: of several that always come together a lasso may take any
+    rows = [(n, f"what a moron text number {n}" if n % 3 == 0 else f"what a text number {n}", 0) for n in range(300)]
+    rows += [(400, None, 0), (401, "", 0), (None, "what a moron", 0), (402, "moron " * 50_000, 0), (3, "what a moron text number 3", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     labels = spark.createDataFrame(
         [(n, int(n % 3 == 0)) for n in range(300)] + [(None, 1), (7, None), (9999, 1), (6, 1)], "doc_id long, toxic int")
