@@ -5,7 +5,7 @@ digits and is no base span), its context, the two words before it. From then on
 occurrences are worked on, as DataFrames:
 
     seeds      the base spans, whatever their kind, with their contexts
-    patterns   contexts of at least MIN_SEEDS different seeds
+    patterns   contexts of at least MIN_SEEDS different seeds and MIN_SHARE of all of them
     corpus     how often each pattern occurs at all, whatever follows, over all texts
     graph      pattern - instance edges with counts, aggregated before every shuffle
     scores     a pattern scores the confidence that follows it per occurrence in the corpus; an
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +32,8 @@ from fichario.llm.common import saved, small_batches, text_key, words
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "id"
 ROUNDS = 3
-MIN_SEEDS = 5
+MIN_SEEDS = 3
+MIN_SHARE = 5e-4  # of the seeds: the support of a pattern means the same at every size
 MIN_PATTERN = 0.8
 PRIOR = 2.0  # occurrences of confidence zero that every pattern starts with
 
@@ -184,8 +186,10 @@ def scored_patterns(found: DataFrame, docs: DataFrame, rounds: int = ROUNDS) ->
     edges = found.groupBy(F.xxhash64("pattern").alias("h"), "instance").agg(
         F.count("*").alias("n"), F.max("seed").alias("seed"))
     edges = saved(edges, "pii-edges")
+    seeds = edges.filter("seed")
+    least = max(MIN_SEEDS, MIN_SHARE * seeds.select("instance").distinct().count())
     induced = saved(
-        edges.filter("seed").groupBy("h").count().filter(f"count >= {MIN_SEEDS}").select("h"), "pii-induced")
+        seeds.groupBy("h").count().filter(F.col("count") >= least).select("h"), "pii-induced")
     total = saved(corpus_counts(docs, induced), "pii-counts")
     edges = saved(edges.join(total, "h"), "pii-edges")
     confidence = F.when(F.col("seed"), 1.0).otherwise(0.0)
@@ -215,6 +219,19 @@ def discovered(found: DataFrame, patterns: DataFrame) -> DataFrame:
     return open_.join(patterns, "h").select("row_id", "start", "stop")
 
 
+def _confident(scan: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Occurrences of a scan, and the patterns that discover."""
+    found = scan.filter("size(found) > 0").select("row_id", F.inline("found"))
+    return found, scored_patterns(found, docs)
+
+
+def _scanned(docs: DataFrame) -> DataFrame:
+    small_batches(docs.sparkSession, 200)
+    keyed = docs.select(
+        "doc_id", "text", text_key().alias("text_key"), F.monotonically_increasing_id().alias("row_id"))
+    return saved(keyed.mapInArrow(_scan, SCAN_DDL), "pii-scan")
+
+
 def find(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, n_email, n_ip, n_card, n_phone, n_id, base, spans of every row of docs.
 
@@ -223,12 +240,9 @@ def find(docs: DataFrame) -> DataFrame:
     overlap base spans. Repeated rows are returned as often as they come. An empty table gives no
     rows. Texts are read twice, for spans and for the patterns' counts, and never shuffled.
     """
-    small_batches(docs.sparkSession, 200)
-    keyed = docs.select(
-        "doc_id", "text", text_key().alias("text_key"), F.monotonically_increasing_id().alias("row_id"))
-    scan = saved(keyed.mapInArrow(_scan, SCAN_DDL), "pii-scan")
-    found = scan.filter("size(found) > 0").select("row_id", F.inline("found"))
-    spans = discovered(found, scored_patterns(found, docs))
+    scan = _scanned(docs)
+    found, patterns = _confident(scan, docs)
+    spans = discovered(found, patterns)
     more = spans.groupBy("row_id").agg(  # at most the identifiers of one text
         F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("ids"))
     joined = F.concat_ws(",", F.transform("ids", lambda s: F.concat(
@@ -253,11 +267,42 @@ def masked(text: str | None, spans: str | None) -> str | None:
     return "".join(out) + text[at:]
 
 
+def pattern_hash(pattern: str) -> int:
+    """What Spark's xxhash64 gives for the pattern."""
+    value = xxhash.xxh64_intdigest(pattern.encode(), 42)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def _cleaned(text: str | None, good: frozenset[int]) -> str | None:
+    base = base_spans(text)
+    spans = [s for kind in KINDS for s in _joined(kind, base[kind])]
+    for start, stop, _, seed, pattern in occurrences(text, base) if good else ():
+        if not seed and pattern_hash(pattern) in good:
+            spans.append(f"{FOUND}:{start}:{stop}")
+    return masked(text, ",".join(spans))
+
+
 def without_pii(docs: DataFrame) -> DataFrame:
     """docs with all spans masked in text; rows, columns and everything else stay.
 
-    Texts with spans meet their spans by doc_id and text hash; the others are not changed.
+    The confident patterns, of which there are at most some thousands (each holds MIN_SHARE of the
+    seeds), go to the tasks; every text is scanned and masked where it lies. Should there ever be more
+    than BROADCAST_PATTERNS, texts meet their spans by doc_id and text hash instead.
     """
+    plain = docs.select("doc_id", "text")
+    _, patterns = _confident(_scanned(plain), plain)
+    if patterns.count() > BROADCAST_PATTERNS:
+        return _joined_masks(docs)
+    good = frozenset(r.h for r in patterns.select("h").collect())
+
+    @F.pandas_udf("string")
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([_cleaned(t, good) for t in texts])
+
+    return docs.withColumn("text", clean("text"))
+
+
+def _joined_masks(docs: DataFrame) -> DataFrame:
     found = find(docs.select("doc_id", "text")).filter("spans <> ''").select(
         F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("spans").alias("__spans"))
     found = saved(found.dropDuplicates(["__id", "__key"]), "pii-spans")

@@ -71,6 +71,7 @@ def test_cues_discover_unseen_identifiers(spark):
     odd = rows[64][1].index("agent")
     assert ids == [("100", f"id:{at}:{at + 12}")] * 2 + [("None", f"id:{odd}:{odd + 11}")]
     clean = {(r.doc_id, r.text) for r in pii.without_pii(docs).collect()}
+    assert clean == {(r.doc_id, r.text) for r in pii._joined_masks(docs).collect()}
     assert (100, "As before. Write to: [ID] please") in clean
     assert (101, rows[61][1]) in clean and (102, None) in clean and (103, "") in clean
     assert pii.without_pii(docs).columns == docs.columns and pii.without_pii(docs).count() == len(rows)
