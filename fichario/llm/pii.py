@@ -5,8 +5,10 @@ digits and is no base span), its context, the two words before it. From then on
 occurrences are worked on, as DataFrames:
 
     seeds      the base spans, whatever their kind, with their contexts
-    patterns   contexts of at least MIN_SEEDS different seeds and MIN_SHARE of all of them
-    corpus     how often each pattern occurs at all, whatever follows, over all texts
+    patterns   contexts of at least MIN_SEEDS different seeds, whatever the size of the corpus
+    corpus     how often each pattern occurs at all, whatever follows, over all texts; before that,
+               counts over parts of the texts rule out what could not be confident even if all that
+               was found after it were personal data
     graph      pattern - instance edges with counts, aggregated before every shuffle
     scores     a pattern scores the confidence that follows it per occurrence in the corpus; an
                instance scores by its best patterns together (noisy or); some rounds
@@ -33,9 +35,9 @@ KINDS = ("email", "ip", "card", "phone")
 FOUND = "id"
 ROUNDS = 3
 MIN_SEEDS = 3
-MIN_SHARE = 5e-4  # of the seeds: the support of a pattern means the same at every size
 MIN_PATTERN = 0.8
 PRIOR = 2.0  # occurrences of confidence zero that every pattern starts with
+PARTS = (256, 16)  # one text in so many is counted first: a count in a part is a lower bound
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
@@ -47,6 +49,7 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SPACES = " \t\n\x0b\x0c\r"
 _EDGE = re.compile(r"^[^0-9A-Za-z+@]+|[^0-9A-Za-z]+$")
 CONTEXT_CHARS = 200
+ROW_PATTERNS = 10_000  # so few are looked up inside the row, before its contexts become rows
 BROADCAST_PATTERNS = 1_000_000  # rows of 8 bytes; beyond that the patterns are joined by shuffle
 
 Span = tuple[int, int]
@@ -167,13 +170,18 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def corpus_counts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     """h, total: how often each of patterns (h) stands before any word, over all texts."""
-    small = patterns.count() <= BROADCAST_PATTERNS
+    n = patterns.count()
     lower = words(F.lower("text"))
-    pairs = docs.select(lower.alias("w")).filter("size(w) > 2").select(F.explode(F.transform(
+    hashes = F.transform(
         F.sequence(F.lit(2), F.size("w") - 1),
-        lambda i: F.xxhash64(F.concat_ws(" ", F.get("w", i - 2), F.get("w", i - 1))))).alias("h"))
-    return pairs.join(F.broadcast(patterns) if small else patterns, "h").groupBy("h").agg(
-        F.count("*").alias("total"))
+        lambda i: F.xxhash64(F.concat_ws(" ", F.get("w", i - 2), F.get("w", i - 1))))
+    if n <= ROW_PATTERNS:
+        wanted = [r.h for r in patterns.collect()]
+        hashes = F.filter(hashes, lambda h: h.isin(wanted))
+    pairs = docs.select(lower.alias("w")).filter("size(w) > 2").select(F.explode(hashes).alias("h"))
+    if n > ROW_PATTERNS:
+        pairs = pairs.join(F.broadcast(patterns) if n <= BROADCAST_PATTERNS else patterns, "h")
+    return pairs.groupBy("h").agg(F.count("*").alias("total"))
 
 
 def scored_patterns(found: DataFrame, docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -182,15 +190,24 @@ def scored_patterns(found: DataFrame, docs: DataFrame, rounds: int = ROUNDS) ->
     Score: confidence that follows the pattern / (its occurrences in the corpus + PRIOR). Confidence
     of an instance: 1 if it is a seed, else 1 minus the product of (1 - score) over its patterns that
     reach MIN_PATTERN. Every round is saved.
+
+    Patterns that cannot reach MIN_PATTERN leave before all texts are counted, which changes no result:
+    the confidence that follows a pattern is at most the occurrences found after it, and its count in a
+    part of the texts is at most its count in all.
     """
     edges = found.groupBy(F.xxhash64("pattern").alias("h"), "instance").agg(
         F.count("*").alias("n"), F.max("seed").alias("seed"))
     edges = saved(edges, "pii-edges")
-    seeds = edges.filter("seed")
-    least = max(MIN_SEEDS, MIN_SHARE * seeds.select("instance").distinct().count())
     induced = saved(
-        seeds.groupBy("h").count().filter(F.col("count") >= least).select("h"), "pii-induced")
-    total = saved(corpus_counts(docs, induced), "pii-counts")
+        edges.groupBy("h").agg(F.sum("n").alias("most"), F.count_if("seed").alias("seeds"))
+        .filter((F.col("seeds") >= MIN_SEEDS) & (F.col("most") / PRIOR >= MIN_PATTERN)).select("h", "most"),
+        "pii-induced")
+    for part in PARTS:
+        seen = corpus_counts(docs.filter(F.pmod(text_key(), F.lit(part)) == 0), induced.select("h"))
+        bound = F.col("most") / (F.coalesce("total", F.lit(0)) + PRIOR)
+        induced = saved(
+            induced.join(seen, "h", "left").filter(bound >= MIN_PATTERN).select("h", "most"), "pii-induced")
+    total = saved(corpus_counts(docs, induced.select("h")), "pii-counts")
     edges = saved(edges.join(total, "h"), "pii-edges")
     confidence = F.when(F.col("seed"), 1.0).otherwise(0.0)
     weighed = edges.select("h", "total", "n", confidence.alias("c"))
@@ -238,7 +255,8 @@ def find(docs: DataFrame) -> DataFrame:
     base and spans: kind:start:end by kind, then start, comma-joined, in code points; spans adds the
     discovered ones of kind id at the end. Null and empty texts have none. Discovered spans never
     overlap base spans. Repeated rows are returned as often as they come. An empty table gives no
-    rows. Texts are read twice, for spans and for the patterns' counts, and never shuffled.
+    rows. Texts are read for the spans, for the patterns' counts in parts and for those in all, and
+    never shuffled.
     """
     scan = _scanned(docs)
     found, patterns = _confident(scan, docs)
@@ -285,9 +303,8 @@ def _cleaned(text: str | None, good: frozenset[int]) -> str | None:
 def without_pii(docs: DataFrame) -> DataFrame:
     """docs with all spans masked in text; rows, columns and everything else stay.
 
-    The confident patterns, of which there are at most some thousands (each holds MIN_SHARE of the
-    seeds), go to the tasks; every text is scanned and masked where it lies. Should there ever be more
-    than BROADCAST_PATTERNS, texts meet their spans by doc_id and text hash instead.
+    The confident patterns go to the tasks; every text is scanned and masked where it lies. Should there
+    ever be more than BROADCAST_PATTERNS, texts meet their spans by doc_id and text hash instead.
     """
     plain = docs.select("doc_id", "text")
     _, patterns = _confident(_scanned(plain), plain)

@@ -78,6 +78,35 @@ def test_cues_discover_unseen_identifiers(spark):
     assert pii.find(docs.limit(0)).count() == 0 and pii.without_pii(docs.limit(0)).count() == 0
 
 
+def test_support_of_a_cue_does_not_grow_with_the_seeds(spark):
+    rows = [(n, " ".join(f"w{n}x{k} v{n}x{k} p{n}x{k}@mail.example.com" for k in range(100))) for n in range(200)]
+    rows += [(1000 + n, f"his staff badge: u{n % 8}@mail.example.com today") for n in range(16)]
+    rows += [(2000, "his staff badge: kx-4471 today")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")  # 20,008 seeds, 8 of them behind the cue
+    assert [(r.doc_id, r.spans) for r in pii.find(docs).filter("n_id > 0").collect()] == [(2000, "id:17:24")]
+    assert [r.text for r in pii.without_pii(docs).filter("doc_id = 2000").collect()] == ["his staff badge: [ID] today"]
+
+
+def test_early_bounds_change_no_score(spark, monkeypatch):
+    random.seed(3)
+    rows = [(n, " ".join(f"{random.choice('abcd' if n_often else 'wxyz')} {random.choice('efg')} " + random.choice(
+        [f"u{random.randrange(40)}@x.example.com", f"id-{random.randrange(60)}", "plain"] + ["u7@x.example.com"] * n_often)
+        for _ in range(12))) for n, n_often in enumerate([0, 20] * 150)]
+    rows += [(1000 + n, f"send to: u{n}@x.example.com or id-{n} send to: id-{n % 9}00") for n in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def scores(parts):
+        monkeypatch.setattr(pii, "PARTS", parts)
+        return sorted((r.h, round(r.score, 9)) for r in pii._confident(pii._scanned(docs), docs)[1].collect())
+
+    want = scores(())
+    assert want and scores((4, 2)) == scores((256, 16)) == want
+    for limit in (10, 0):
+        monkeypatch.setattr(pii, "ROW_PATTERNS", 0)
+        monkeypatch.setattr(pii, "BROADCAST_PATTERNS", limit)
+        assert scores((4,)) == want
+
+
 def test_masks_of_overlapping_spans():
     assert pii.masked("call +1 (988) 555-2485 4111111111111111!", "card:23:39,phone:5:39") == "call [PHONE]!"
     assert pii.masked("a b@c.de", "email:2:8") == "a [EMAIL]"
