@@ -107,35 +107,53 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     its = items.withColumn("item_key", F.xxhash64(F.coalesce("text", F.lit("")))).join(
         near.select("item_key").distinct(), "item_key", "left_semi")
     its = _slots(its, ["item_id", "item_key"]).groupBy("item_id", "item_key", "h").agg(
-        F.min_by("slots", "at").alias("its"))
+        F.min_by("slots", "at").alias("its"), F.min("at").alias("place"))
     named = near.withColumnsRenamed({"doc_id": "__id", "text_key": "__key"}).join(
         its, (near["item_key"] == its["item_key"]) & near["item_id"].eqNullSafe(its["item_id"])).select(
-        "__id", "__key", near["item_id"], near["item_key"], "n_windows", "h", "its")
+        "__id", "__key", near["item_id"], near["item_key"], "n_windows", "h", "its", "place")
     met = saved(
         mine.join(named, same & (mine["h"] == named["h"])).select(
-            "doc_id", "text_key", "item_id", "item_key", "n_windows", "at", mine["h"],
-            F.zip_with("its", "slots", lambda b, d: F.struct(b["v"].alias("b"), d["v"].alias("d"))).alias("s")),
-        "met-windows")
-
-    votes = met.select(*pair, F.explode("s").alias("x")).groupBy(*pair, "x.b", "x.d").count()
-    first = Window.partitionBy(*pair, "b").orderBy(F.desc("count"), F.desc(F.col("b") == F.col("d")), "d")
+            "doc_id", "text_key", "item_id", "item_key", "n_windows", (F.col("at") - F.col("place")).alias("shift"), mine["h"],
+            F.zip_with("its", "slots", lambda b, d: F.struct(b["v"].alias("b"), d["v"].alias("d"))).alias("s"))
+        .distinct(), "met-windows")
+
+    one = [*pair, "kind", "nth"]
+    parts = saved(_occurrences(met, pair), "occurrences")
+    votes = parts.select(*one, F.explode("s").alias("x")).groupBy(*one, "x.b", "x.d").count()
+    first = Window.partitionBy(*one, "b").orderBy(F.desc("count"), F.desc(F.col("b") == F.col("d")), "d")
     chosen = votes.withColumn("r", F.row_number().over(first)).filter("r = 1")
-    mapping = chosen.groupBy(*pair).agg(
+    mapping = chosen.groupBy(*one).agg(
         F.map_from_entries(F.collect_list(F.struct("b", "d"))).alias("m"),  # at most the item's values
         F.count("*").alias("n_slots"), F.count_if(F.col("b") != F.col("d")).alias("n_changed"))
-    left, right = met.alias("l"), mapping.alias("r")
+    left, right = parts.alias("l"), mapping.alias("r")
     agree = left.join(
-        right, F.expr("l.doc_id <=> r.doc_id and l.text_key = r.text_key and "
-                      "l.item_id <=> r.item_id and l.item_key = r.item_key"), "left")
+        right, F.expr("l.doc_id <=> r.doc_id and l.text_key = r.text_key and l.item_id <=> r.item_id and "
+                      "l.item_key = r.item_key and l.kind = r.kind and l.nth = r.nth"), "left")
     agree = agree.filter(F.forall("l.s", lambda x: F.try_element_at("r.m", x["b"]) == x["d"]))
+    held = agree.groupBy(*[f"l.{c}" for c in one], "l.n_windows").agg(
+        F.countDistinct("l.h").alias("n_found"), F.coalesce(F.max("r.n_slots"), F.lit(0)).alias("n_slots"),
+        F.coalesce(F.max("r.n_changed"), F.lit(0)).alias("n_changed"))
+    best = F.max(F.struct("n_found", (-F.col("n_changed")).alias("kept"), "n_slots", "n_changed"))
     return (
-        agree.groupBy(*[f"l.{c}" for c in pair], "l.n_windows").agg(
-            F.countDistinct("l.h").alias("n_found"), F.coalesce(F.max("r.n_slots"), F.lit(0)).alias("n_slots"),
-            F.coalesce(F.max("r.n_changed"), F.lit(0)).alias("n_changed"))
-        .filter(F.col("n_found") * 10 >= F.col("n_windows") * SHARE_TENTHS).drop("item_key")
+        held.filter(F.col("n_found") * 10 >= F.col("n_windows") * SHARE_TENTHS)
+        .groupBy(*pair, "n_windows").agg(best.alias("x"))
+        .select("doc_id", "text_key", "item_id", "n_windows", "x.n_found", "x.n_slots", "x.n_changed")
     )
 
 
+def _occurrences(met: DataFrame, pair: list[str]) -> DataFrame:
+    """The met windows three times over, by where the item may begin (kind, nth): all of the document,
+    windows of equal shift against the item (a plain copy or version), and runs of shifts without a gap
+    of more than half the item (a version with words put in or left out)."""
+    before = F.lag("shift").over(Window.partitionBy(*pair).orderBy("shift"))
+    new = F.coalesce((F.col("shift") - before) * 2 > F.col("n_windows"), F.lit(False)).cast("int")
+    rows = Window.partitionBy(*pair).orderBy("shift").rowsBetween(Window.unboundedPreceding, 0)
+    numbered = met.withColumn("new", new).withColumn("run", F.sum("new").over(rows))
+    groups = [(0, F.lit(0)), (1, F.col("shift")), (2, F.col("run"))]
+    each = F.array(*[F.struct(F.lit(k).alias("kind"), n.cast("long").alias("nth")) for k, n in groups])
+    return numbered.select(*pair, "n_windows", "h", "s", F.inline(each))
+
+
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that leak no item, with their columns."""
     found = saved(leaks(docs.select("doc_id", "text"), benchmark).select(

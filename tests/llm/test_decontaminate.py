@@ -40,6 +40,23 @@ def test_reparameterised_questions_are_found(spark):
     assert {f[0] for f in found} == {1, 2, 6}
 
 
+def test_versions_side_by_side_do_not_mix(spark):
+    def short(length, time):
+        return f"a train covers {length} km in {time} hours before it turns"
+
+    def long(wagons, hour, length, time, word=""):
+        return (f"if a train with {wagons} wagons leaves at {hour} and travels {length} km in {time} hours then with {wagons} "
+                f"wagons {word}what mean speed of at least {length} km did the driver keep on the way back home again that day")
+
+    texts = [(1, short(777, 5) + ". " + short(500, 9), 0), (2, f"{short(777, 5)}; {short(500, 9)}; so {short(600, 7)}", 0),
+             (3, f"{short(777, 5)}; {short(300, 4)}; {short(777, 5)}", 0),
+             (4, long(15, 8, 500, 9, "now ") + "\n" + long(20, 7, 777, 5, "now "), 0),
+             (5, "a train covers 777 km in 5 days. in 9 hours before it turns", 0)]
+    found = pairs(spark, texts, [(7, short(300, 4)), (8, long(12, 9, 300, 4))])
+    assert {f[:2] for f in found} == {(1, 7), (2, 7), (3, 7), (4, 8)}
+    assert (3, 7, 0) in found
+
+
 def test_odd_rows(spark):
     texts = [(1, None, 0), (2, "", 0), (None, QUESTION, 0), (3, QUESTION, 0), (3, QUESTION, 0), (3, "else", 0),
              (4, " " * 10 + QUESTION, 0), (5, "word " * 30_000 + QUESTION, 0)]
