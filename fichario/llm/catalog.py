@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fichario.llm import (
-    bitplanes, bpe, decontaminate, pii, quality_model, quality_rules, simhash, slots, toxicity, warc)
+    bitplanes, bpe, decontaminate, pii, quality_model, quality_rules, simhash, slots, toxicity, turns,
+    warc)
 from fichario.llm.common import table
 
 
@@ -65,6 +66,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return turns.report(rows, turns.damaged(rows))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
+    "op11_conversation_repair": op11_conversation_repair,
     "pipeline": pipeline,
 }
 
