@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fichario.llm import (
-    bitplanes, bpe, decontaminate, pii, quality_model, quality_rules, simhash, slots, toxicity, turns,
+    bitplanes, bpe, decontaminate, neighbours, pii, quality_model, quality_rules, simhash, slots, toxicity, turns,
     warc)
 from fichario.llm.common import table
 
@@ -71,6 +71,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.report(rows, turns.damaged(rows))
 
 
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
     "pipeline": pipeline,
 }
 
