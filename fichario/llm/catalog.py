@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fichario.llm import (
-    bitplanes, bpe, decontaminate, neighbours, pii, quality_model, quality_rules, simhash, slots, toxicity, turns,
-    warc)
+    bitplanes, bpe, collocations, decontaminate, neighbours, pii, quality_model, quality_rules, simhash,
+    slots, toxicity, turns, warc)
 from fichario.llm.common import table
 
 
@@ -75,6 +75,10 @@ def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_nearest_neighbours": op12_nearest_neighbours,
+    "op13_collocations": op13_collocations,
     "pipeline": pipeline,
 }
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +41,20 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int, size: int) -> Iterator[None]:
+    """Bounds rows and bytes of the Arrow batches of what runs inside; the session's settings come back."""
+    wanted = {"maxRecordsPerBatch": rows, "maxBytesPerBatch": size}
+    before = {key: spark.conf.get(f"spark.sql.execution.arrow.{key}") for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(value))
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", value)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(id, root) of every node of edges (a, b); root is one node of its component.
 
