@@ -38,6 +38,7 @@ SHARD_BYTES = 1 << 26
 FLUSH_TOKENS = 2_000_000
 BATCH_BYTES = 4 << 20
 RADIX = 1_024
+BLOCK = 4_096
 MARK = b"."  # between pieces: no word, as it cuts pieces
 # A-Z in lower case, tab as space, what cuts pieces as line feed.
 _TABLE = bytes.maketrans(
@@ -271,7 +272,7 @@ def _third_words(trie, least: int) -> Callable:
 
 
 def _count(trie) -> Callable:
-    """(id, n) of a trie's phrases in a task's texts."""
+    """Counts of a trie's phrases in a task's texts: a row (block, ids, sizes) per BLOCK phrases of it."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book, _ = trie.value
@@ -286,12 +287,33 @@ def _count(trie) -> Callable:
                 _, states = book.advance(at, states, symbols, 2)
                 sizes += np.bincount(book.accept[states], minlength=len(sizes))
         seen = np.flatnonzero(sizes[1:])
+        blocks, begin = np.unique(seen // BLOCK, return_index=True)
+        offsets = pa.array(np.r_[begin, len(seen)].astype(np.int32))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(book.ids[seen]), pa.array(sizes[1:][seen])], names=["id", "n"])
+            [pa.array(blocks), pa.ListArray.from_arrays(offsets, pa.array(book.ids[seen])),
+             pa.ListArray.from_arrays(offsets, pa.array(sizes[1:][seen]))], names=["block", "ids", "sizes"])
 
     return find
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, n) of rows (block, ids, sizes) sorted by block; holds one block and one batch."""
+    now, ids, n = None, np.empty(0, np.int64), np.empty(0, np.int64)
+    for batch in batches:
+        blocks = batch.column("block").to_numpy()
+        edges = (np.flatnonzero(np.diff(blocks)) + 1).tolist()
+        for low, high in zip([0, *edges], [*edges, len(blocks)] if len(blocks) else []):
+            if now is not None and blocks[low] != now:
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["id", "n"])
+                ids, n = ids[:0], n[:0]
+            now, part = blocks[low], batch.slice(low, high - low)
+            ids, place = np.unique(np.r_[ids, part.column("ids").flatten().to_numpy()], return_inverse=True)
+            more, n = np.r_[n, part.column("sizes").flatten().to_numpy()], np.zeros(len(ids), np.int64)
+            np.add.at(n, place, more)
+    if now is not None:
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["id", "n"])
+
+
 def _shards(candidates: DataFrame, label: str, most: int) -> tuple[DataFrame, int]:
     """candidates with an id and a shard, saved, and the number of shards."""
     rows = saved(candidates.withColumn("id", F.monotonically_increasing_id()), label)
@@ -342,8 +364,9 @@ def counts(docs: DataFrame, least: int = MIN_COUNT, most: int = SHARD_PHRASES) -
     found = []
     for shard in range(number):
         sent = spark.sparkContext.broadcast(_trie(both.filter(F.col("shard") == shard)))
-        found.append(passed(_count(sent), "id long, n long", "phrase-counts",
-                            lambda rows: rows.groupBy("id").agg(F.sum("n").alias("n"))))
+        found.append(passed(
+            _count(sent), "block long, ids array<long>, sizes array<long>", "phrase-counts",
+            lambda rows: rows.repartition("block").sortWithinPartitions("block").mapInArrow(_summed, "id long, n long")))
         sent.destroy()
     summed = found[0]
     for more in found[1:]:
