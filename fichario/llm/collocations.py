@@ -33,10 +33,10 @@ from fichario.llm.common import arrow_batches, saved
 MIN_COUNT = 10
 TOP = 2_000
 HOLD = 50  # percent of a phrase's places that lie inside a longer candidate
-SHARD_PHRASES = 1_500_000
+SHARD_PHRASES = 800_000
 SHARD_BYTES = 1 << 26
 FLUSH_TOKENS = 2_000_000
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 RADIX = 1_024
 BLOCK = 4_096
 MARK = b"."  # between pieces: no word, as it cuts pieces
