@@ -23,6 +23,9 @@ FEATURES = 1 << 15
 TRAIN_ROWS = 20_000  # bound of the sample that the scorer is fitted on
 EM_ROUNDS = 100
 KEEP_FROM = 0.5
+SAME = 0.95
+LEAST_GOOD = 0.97  # what the heuristics are made for: to say poor of few good texts
+MIN_EDGE = 0.05  # a labeller that says good of good texts no more often than this above poor ones tells nothing
 GOOD, POOR, NONE = 1, -1, 0
 
 
@@ -50,13 +53,13 @@ def votes(docs: DataFrame) -> DataFrame:
         _chars(F.col("__text"), r"[^\p{Lu}]+").alias("capitals"),
         F.size(F.filter("__words", lambda w: w.rlike("[.!?]$"))).alias("ends"),
         F.size(F.filter("__words", lambda w, i: w == F.get("__words", i - 1))).alias("same"))
-    n, chars = F.col("n"), F.col("chars")
+    n, chars, there = F.col("n"), F.col("chars"), F.col("n") > 0
     return counted.select(
         "doc_id", "__text", "__words",
         _vote(n < 3, n >= 60).alias("vote_length"),
-        _vote(F.col("symbols") > 0.02 * chars, F.col("symbols") == 0).alias("vote_symbols"),
-        _vote(F.col("marks") > 0.12 * chars, F.col("marks") < 0.06 * chars).alias("vote_marks"),
-        _vote(F.col("capitals") > 0.3 * chars, F.col("capitals") < 0.1 * chars).alias("vote_capitals"),
+        _vote(F.col("symbols") > 0.02 * chars, there & (F.col("symbols") == 0)).alias("vote_symbols"),
+        _vote(F.col("marks") > 0.12 * chars, there & (F.col("marks") < 0.06 * chars)).alias("vote_marks"),
+        _vote(F.col("capitals") > 0.3 * chars, there & (F.col("capitals") < 0.1 * chars)).alias("vote_capitals"),
         _vote((n >= 60) & (F.col("different") < 0.2 * n), (n >= 60) & (F.col("different") > 0.4 * n)).alias("vote_variety"),
         _vote(F.col("own_lines") < 0.7 * F.col("lines"), (F.col("lines") > 3) & (F.col("own_lines") == F.col("lines"))).alias("vote_lines"),
         _vote((n >= 60) & (F.col("ends") == 0), (F.col("ends") > 0.01 * n) & (F.col("ends") < 0.3 * n)).alias("vote_sentences"),
@@ -67,27 +70,44 @@ VOTES = ("vote_length", "vote_symbols", "vote_marks", "vote_capitals", "vote_var
          "vote_sentences", "vote_runs")
 
 
-def posteriors(patterns: np.ndarray, counts: np.ndarray, rounds: int = EM_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+def posteriors(
+    patterns: np.ndarray, counts: np.ndarray, rounds: int = EM_ROUNDS, least: float = 0.5
+) -> tuple[np.ndarray, np.ndarray]:
     """Posterior of `good` per vote pattern, and how often every labeller that votes says `good` of
     poor and of good texts: array (labeller, class).
 
-    Starts from the belief that texts without any vote for poor are good. Labellers are taken as
-    independent given the class; a labeller that does not vote says nothing. One count is added to
-    either vote, so that no share is zero.
+    Labellers are taken as independent given the class; a labeller that does not vote says nothing. One
+    count is added to either vote, so that no share is zero. The names of the classes are anchored: the
+    start is the share of a text's votes that say good, a labeller says good of at least the share `least`
+    of good texts, and of poor texts no more often than of good ones. Where the votes would have it
+    otherwise, the shares are equal, and the labeller says nothing. So a vote for good never speaks for
+    poor, whatever the mix of texts; and a kind of poor texts that fills the corpus does not become the
+    good class, as its labeller speaks against it. A labeller that says poor of nearly all (SAME) tells
+    nothing of any text. If no labeller is left that tells the classes apart, the share of votes decides.
     """
-    good = np.where((patterns == POOR).any(axis=1), 0.1, 0.95)
-    says = np.zeros((patterns.shape[1], 2))
     yes, no = (patterns == GOOD).astype(float), (patterns == POOR).astype(float)
+    silent = counts @ no > SAME * (counts @ (yes + no))
+    start = (yes[:, ~silent].sum(axis=1) + 0.5) / ((yes + no)[:, ~silent].sum(axis=1) + 1)
+    good = start
+    says = np.full((patterns.shape[1], 2), 0.5)
     for _ in range(rounds):
         weight = np.stack([counts * (1 - good), counts * good], axis=1)
         prior = (weight.sum(axis=0) + 1) / (counts.sum() + 2)
         agree, against = yes.T @ weight, no.T @ weight
         says = (agree + 1) / (agree + against + 2)
+        pooled = (agree.sum(axis=1) + 1) / ((agree + against).sum(axis=1) + 2)
+        crossed = says[:, 1] < says[:, 0]
+        says[crossed] = pooled[crossed, None]
+        says[:, 1] = np.maximum(says[:, 1], least)
+        says[silent] = pooled[silent, None]
         log = np.log(prior) + yes @ np.log(says) + no @ np.log(1 - says)
         new = 1 / (1 + np.exp(np.clip(log[:, 0] - log[:, 1], -500, 500)))
-        if np.abs(new - good).max(initial=0) < 1e-9:
-            break
+        change = np.abs(new - good).max(initial=0)
         good = new
+        if change < 1e-9:
+            break
+    if not (says[:, 1] - says[:, 0] > MIN_EDGE).any():
+        good = start
     return good, says
 
 
@@ -95,7 +115,7 @@ def soft_labels(voted: DataFrame) -> DataFrame:
     """VOTES and weak_good for every vote pattern of voted: at most 3^8 rows, also in the driver."""
     rows = sorted(tuple(r) for r in voted.groupBy(*VOTES).count().collect())
     patterns = np.array([r[:-1] for r in rows], np.int64).reshape(-1, len(VOTES))
-    good, _ = posteriors(patterns, np.array([r[-1] for r in rows], float))
+    good, _ = posteriors(patterns, np.array([r[-1] for r in rows], float), least=LEAST_GOOD)
     ddl = ", ".join(f"{v} byte" for v in VOTES) + ", weak_good double"
     return voted.sparkSession.createDataFrame(
         [(*r[:-1], float(g)) for r, g in zip(rows, good)], ddl)
@@ -114,8 +134,8 @@ def terms(text: Column, found: Column) -> Column:
 
 
 def vectors(voted: DataFrame) -> DataFrame:
-    """voted with `features`: counts of hashed terms, scaled to length one (empty texts: zero)."""
-    listed = voted.withColumn("__terms", terms(F.col("__text"), F.col("__words"))).drop("__text", "__words")
+    """voted with `features` and `__blank` (no words): counts of hashed terms, scaled to length one (empty texts: zero)."""
+    listed = voted.withColumn("__blank", F.size("__words") == 0).withColumn("__terms", terms(F.col("__text"), F.col("__words"))).drop("__text", "__words")
     hashed = HashingTF(numFeatures=FEATURES, inputCol="__terms", outputCol="__counts").transform(listed)
     return Normalizer(inputCol="__counts", outputCol="features").transform(hashed).drop("__terms", "__counts")
 
@@ -138,7 +158,7 @@ def classify(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """doc_id, weak_good, score, kept of every row of docs (doc_id, text).
 
     weak_good is the posterior of the row's votes, score the scorer's probability of good; kept from
-    KEEP_FROM. Null and empty texts are texts without words (the heuristics call them poor). Repeated
+    KEEP_FROM. Null and empty texts are texts without words; their score is zero. Repeated
     rows are returned as often as they come. Without texts there is nothing to fit and no row.
     """
     docs = docs.select("doc_id", "text")
@@ -152,4 +172,4 @@ def classify(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     scored = model.transform(vectors(votes(docs)))
     score = F.get(vector_to_array("probability"), F.lit(1))
     return scored.join(F.broadcast(labels), list(VOTES)).select(
-        "doc_id", "weak_good", score.alias("score")).withColumn("kept", F.col("score") >= KEEP_FROM)
+        "doc_id", "weak_good", F.when(F.col("__blank"), 0.0).otherwise(score).alias("score")).withColumn("kept", F.col("score") >= KEEP_FROM)

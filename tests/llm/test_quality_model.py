@@ -1,6 +1,7 @@
 """Weak labels and the scorer: EM on known accuracies, held-out labels, odd rows."""
 
 import numpy as np
+import pytest
 
 from fichario.llm import quality_model as q
 from fichario.llm.catalog import op1_quality_classifier
@@ -41,3 +42,38 @@ def test_odd_rows(spark):
     assert kept[None] and all(kept[n] for n in range(30)) and not any(kept[100 + n] for n in range(10))
     assert not kept[200] and not kept[201]
     assert q.classify(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("share", [0.1, 0.5, 0.9])
+def test_names_hold_whatever_the_mix(share):
+    """Labellers that see seven of ten poor texts, and one that always says poor."""
+    rng = np.random.default_rng(int(share * 10))
+    n = 20_000
+    kind = rng.random(n) < share
+    votes = np.where(rng.random((n, 5)) < np.where(kind, 0.3, 0.99)[:, None], 1, -1)
+    votes[:, 4] = -1
+    patterns, inverse, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    good, says = q.posteriors(patterns, counts.astype(float), least=q.LEAST_GOOD)
+    named = good[inverse.ravel()] > 0.5
+    assert named[~kind].mean() > 0.9 and named[kind].mean() < 0.1
+    assert (says[:, 0] <= says[:, 1]).all()
+
+
+def test_votes_that_tell_nothing():
+    patterns, counts = np.array([[1, 1], [-1, -1], [0, 0]]), np.array([0.0, 5.0, 2.0])
+    good, _ = q.posteriors(patterns, counts)
+    assert good[0] > 0.5 > good[1] and abs(good[2] - 0.5) < 1e-9
+
+
+@pytest.mark.parametrize("of", [0.1, 0.5, 0.9])
+def test_given_texts_of_another_mix(spark, of):
+    """Documents of the given table such that the share `of` is poor by their labels, which stay unseen."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    poor, good = (labels.filter(f"quality = {k}").orderBy("doc_id") for k in (0, 1))
+    n = 500
+    chosen = poor.limit(int(n * of)).unionByName(good.limit(n - int(n * of)))
+    docs = spark.read.parquet(f"{folder}/documents.parquet").join(chosen, "doc_id")
+    rows = q.classify(docs.drop("quality")).join(chosen, "doc_id").collect()
+    assert np.mean([r.kept for r in rows if r.quality]) > 0.9
+    assert np.mean([r.kept for r in rows if not r.quality]) < 0.1
