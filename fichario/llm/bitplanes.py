@@ -17,6 +17,7 @@ one block in memory, and 17 bytes per document of the file.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -39,6 +40,8 @@ BLOCK_IDS = 65_536
 LEVEL = 3
 CACHED_WORDS = 400_000
 CACHED_CHARS = 64
+# A Latin letter, then one mark at the end of a part.
+WORD_AND_MARK = re.compile(rb"(?s).*(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])[.,;:!?]").fullmatch
 
 
 def to_planes(ids: np.ndarray, planes: int) -> list[bytes]:
@@ -154,8 +157,9 @@ class Reader:
 class Encoder:
     """Ids by the library, as bytes. The file's tokenizer drops white space, never merges over it and
     lowers case, so every part between spaces has ids of its own, and parts that return are not
-    encoded again. What is kept is bounded: when full, only parts that returned stay; long parts are
-    never kept."""
+    encoded again. It also never merges a letter with a mark behind it, so `word,` has the ids of
+    `word` and of `,`. What is kept is bounded: when full, only parts that returned stay; long parts
+    are never kept."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -165,30 +169,50 @@ class Encoder:
         self.library.no_padding()
         specials = self.library.get_added_tokens_decoder()
         self.mark_id, self.mark = next((i, t.content) for i, t in specials.items() if t.special)
-        self.known: dict[str, bytes] = {}
-        self.returned: set[str] = set()
+        self.known: dict[bytes, bytes] = {}
+        self.returned: set[bytes] = set()
 
     @staticmethod
-    def parts(text: str | None) -> list[str]:
-        text = text or ""
-        if "<|" not in text:  # names of special tokens keep their case
-            text = text.encode().lower().decode()  # ASCII letters only; the library lowers the rest
-        return text.replace("\n", " ").split(" ")
-
-    def _fill(self, missing: list[str]) -> None:
+    def parts(text: str | None) -> list[bytes]:
+        """Parts of a text, ASCII letters lowered (the library lowers the rest) where that changes nothing.
+
+        A letter under a combining mark stays as it is: the library composes first, and some marks
+        compose with the small letter only. Names of special tokens keep their case.
+        """
+        data = (text or "").encode()
+        plain = b"<|" not in data
+        if plain and b"\xcc" not in data and b"\xcd" not in data:  # first bytes of the marks U+0300 to U+036F
+            return data.lower().replace(b"\n", b" ").split(b" ")
+        found = data.replace(b"\n", b" ").split(b" ")
+        return [p.lower() if p.isascii() else p for p in found] if plain else found
+
+    def _ask(self, missing: list[bytes]) -> None:
         """One call for all: a special token between the parts marks where they end."""
-        plain = [p for p in missing if "<|" not in p]
+        plain = [p.decode() for p in missing if b"<|" not in p]
         joined = self.library.encode_batch_fast([self.mark.join(plain)], add_special_tokens=False)
         ids = np.array(joined[0].ids, "<u4")
         ends = (np.flatnonzero(ids == self.mark_id) * 4).tolist()
         data = ids.tobytes()
         for part, begin, end in zip(plain, [0, *(e + 4 for e in ends)], [*ends, len(data)]):
-            self.known[part] = data[begin:end]
+            self.known[part.encode()] = data[begin:end]
         for part in missing:
-            if "<|" in part:
-                found = self.library.encode(part, add_special_tokens=False)
+            if b"<|" in part:
+                found = self.library.encode(part.decode(), add_special_tokens=False)
                 self.known[part] = np.array(found.ids, "<u4").tobytes()
 
+    def _fill(self, missing: list[bytes]) -> list[bytes]:
+        """Makes the missing parts known; gives all that became known."""
+        ends = {part: part[:-1] for part in missing if WORD_AND_MARK(part)}
+        plain = set(missing).difference(ends)
+        plain.update(ends.values(), (part[-1:] for part in ends))
+        plain = [part for part in plain if part not in self.known]
+        if plain:
+            self._ask(plain)
+        known = self.known
+        for part, stem in ends.items():
+            known[part] = known[stem] + known[part[-1:]]
+        return [*plain, *ends]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = list(map(self.parts, texts))
         wanted = set().union(*split)
@@ -196,12 +220,12 @@ class Encoder:
             stay = self.returned if len(self.returned) < CACHED_WORDS // 2 else ()
             self.known = {part: self.known[part] for part in stay}
             self.returned = set()
-        missing = [part for part in wanted if part not in self.known]
+        missing = wanted.difference(self.known)
         self.returned.update(wanted.difference(missing))
-        self._fill(missing)
+        fresh = self._fill(list(missing)) if missing else []
         look = self.known.__getitem__
         out = [b"".join(map(look, parts)) for parts in split]
-        for part in missing:
+        for part in fresh:
             if len(part) > CACHED_CHARS:
                 del self.known[part]
         return out

@@ -66,3 +66,16 @@ def test_nulls_ties_and_odd_texts(spark):
         assert r.ids == [*library.encode(text or "", add_special_tokens=False).ids, 1]
     empty = bitplanes.write(docs.limit(0), PATH)
     assert empty.count() == 0 and bitplanes.read(empty).count() == 0
+
+
+def test_ids_of_composed_letters_and_marks():
+    """Marks that compose with the small letter only, and words before one mark or several."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), bitplanes.Encoder(path)
+    pairs = ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a", "K\u0331", "A\u0301", "E\u0316"]
+    texts = [f"{p} x{p}. {p.lower()},{p[0]}" for p in pairs]
+    texts += ["Word, word. WORD; word: a,b. É, é. ÉÀ! ñ? ß. 5. it's, 's. x.. x., . , ,. ÷. ×, <|endoftext|>, A<|x.",
+              "don't. DON'T, we'll! ́, é. É, a\xa0b.  c, 日本, 日本. ı. İ, ς. Σ,", "a" * 500 + ", " + "B" * 70 + "."]
+    for text in (*texts, *texts, " ".join(texts)):
+        found = np.frombuffer(own.encode([text])[0], "<u4").tolist()
+        assert found == library.encode(text, add_special_tokens=False).ids
