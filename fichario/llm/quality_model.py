@@ -37,12 +37,20 @@ def _chars(text: Column, others: str) -> Column:
     return F.length(F.regexp_replace(text, others, ""))
 
 
+def texts(docs: DataFrame) -> DataFrame:
+    """doc_id, __text, __words of every row."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return docs.select("doc_id", text.alias("__text"), words(text).alias("__words"))
+
+
+def text_name() -> list[Column]:
+    """128 bits that name a text."""
+    return [F.xxhash64("__text").alias("__k1"), F.xxhash64(F.lit("second"), "__text").alias("__k2")]
+
+
 def votes(docs: DataFrame) -> DataFrame:
     """doc_id, __text, __words, vote_... of every row. Null texts count as empty. A map over rows."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    split = docs.select(
-        "doc_id", text.alias("__text"), words(text).alias("__words"),
-        F.filter(F.split(text, "\n"), lambda x: F.length(x) > 0).alias("__lines"))
+    split = texts(docs).withColumn("__lines", F.filter(F.split("__text", "\n"), lambda x: F.length(x) > 0))
     counted = split.select(
         "doc_id", "__text", "__words", F.size("__words").alias("n"),
         F.greatest(F.length(F.array_join("__words", "")), F.lit(1)).alias("chars"),
@@ -87,7 +95,8 @@ def posteriors(
     """
     yes, no = (patterns == GOOD).astype(float), (patterns == POOR).astype(float)
     silent = counts @ no > SAME * (counts @ (yes + no))
-    start = (yes[:, ~silent].sum(axis=1) + 0.5) / ((yes + no)[:, ~silent].sum(axis=1) + 1)
+    heard = ~silent if not silent.all() else silent
+    start = (yes[:, heard].sum(axis=1) + 0.5) / ((yes + no)[:, heard].sum(axis=1) + 1)
     good = start
     says = np.full((patterns.shape[1], 2), 0.5)
     for _ in range(rounds):
@@ -162,14 +171,16 @@ def classify(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     rows are returned as often as they come. Without texts there is nothing to fit and no row.
     """
     docs = docs.select("doc_id", "text")
-    voted = saved(votes(docs).drop("__text", "__words"), "quality-votes")
+    voted = saved(votes(docs).select("doc_id", *VOTES, *text_name()), "quality-votes")
     n = voted.count()
     if not n:
         return voted.select(
             "doc_id", F.lit(0.0).alias("weak_good"), F.lit(0.0).alias("score"), F.lit(False).alias("kept"))
     labels = soft_labels(voted)
     model = trained(docs, labels, n, rows)
-    scored = model.transform(vectors(votes(docs)))
-    score = F.get(vector_to_array("probability"), F.lit(1))
-    return scored.join(F.broadcast(labels), list(VOTES)).select(
-        "doc_id", "weak_good", F.when(F.col("__blank"), 0.0).otherwise(score).alias("score")).withColumn("kept", F.col("score") >= KEEP_FROM)
+    # Votes depend on the text alone: they come back by its name, small rows, and are not taken again.
+    known = voted.join(F.broadcast(labels), list(VOTES)).groupBy("__k1", "__k2").agg(F.first("weak_good").alias("weak_good"))
+    scored = model.transform(vectors(texts(docs).select("*", *text_name())))
+    score = F.when(F.col("__blank"), 0.0).otherwise(F.get(vector_to_array("probability"), F.lit(1)))
+    return scored.select("doc_id", "__k1", "__k2", score.alias("score")).join(known, ["__k1", "__k2"]).select(
+        "doc_id", "weak_good", "score").withColumn("kept", F.col("score") >= KEEP_FROM)
