@@ -40,6 +40,9 @@ BLOCK_IDS = 65_536
 LEVEL = 3
 CACHED_WORDS = 400_000
 CACHED_CHARS = 64
+MARK = "\ue000"  # a word of its own, for which the vocabulary has bytes only
+# A part that the library must see alone: names of special tokens, the mark itself.
+ODD = re.compile(rb"<\||\xee\x80\x80").search
 # A Latin letter, then one mark at the end of a part.
 WORD_AND_MARK = re.compile(rb"(?s).*(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])[.,;:!?]").fullmatch
 
@@ -167,8 +170,7 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        specials = self.library.get_added_tokens_decoder()
-        self.mark_id, self.mark = next((i, t.content) for i, t in specials.items() if t.special)
+        self.mark = np.array(self.library.encode(MARK, add_special_tokens=False).ids, "<u4")
         self.known: dict[bytes, bytes] = {}
         self.returned: set[bytes] = set()
 
@@ -187,16 +189,18 @@ class Encoder:
         return [p.lower() if p.isascii() else p for p in found] if plain else found
 
     def _ask(self, missing: list[bytes]) -> None:
-        """One call for all: a special token between the parts marks where they end."""
-        plain = [p.decode() for p in missing if b"<|" not in p]
-        joined = self.library.encode_batch_fast([self.mark.join(plain)], add_special_tokens=False)
-        ids = np.array(joined[0].ids, "<u4")
-        ends = (np.flatnonzero(ids == self.mark_id) * 4).tolist()
-        data = ids.tobytes()
-        for part, begin, end in zip(plain, [0, *(e + 4 for e in ends)], [*ends, len(data)]):
+        """One call for all: a word that no part holds stands between them and shows where they end."""
+        plain = [p.decode() for p in missing if ODD(p) is None]
+        joined = self.library.encode_batch_fast([f" {MARK} ".join(plain)], add_special_tokens=False)
+        ids, size = np.array(joined[0].ids, "<u4"), len(self.mark)
+        found = np.ones(max(0, len(ids) - size + 1), bool)
+        for k, one in enumerate(self.mark):
+            found &= ids[k:len(ids) - size + 1 + k] == one
+        ends, data = (np.flatnonzero(found) * 4).tolist(), ids.tobytes()
+        for part, begin, end in zip(plain, [0, *(e + 4 * size for e in ends)], [*ends, len(data)], strict=True):
             self.known[part.encode()] = data[begin:end]
         for part in missing:
-            if b"<|" in part:
+            if ODD(part) is not None:
                 found = self.library.encode(part.decode(), add_special_tokens=False)
                 self.known[part] = np.array(found.ids, "<u4").tobytes()
 
