@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fichario.llm.common import saved, small_batches, text_key
+from fichario.llm.common import arrow_batches, saved, text_key
 from fichario.llm.files import new_file, open_in, open_out
 from fichario.session import new_folder
 
@@ -40,7 +40,12 @@ BLOCK_IDS = 65_536
 LEVEL = 3
 CACHED_WORDS = 400_000
 CACHED_CHARS = 64
+BATCH_BYTES = 4 << 20  # of texts that a task takes at once
 MARK = "\ue000"  # a word of its own, for which the vocabulary has bytes only
+# A word of Latin letters up to U+00FF: composed, one piece for the file's pattern.
+LATIN_WORD = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
+# The printable character that stands for each byte in byte-level vocabularies (a public rule).
+SYMBOLS = {b: 256 + n for n, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
 # A part that the library must see alone: names of special tokens, the mark itself.
 ODD = re.compile(rb"<\||\xee\x80\x80").search
 # A Latin letter, then one mark at the end of a part.
@@ -166,10 +171,14 @@ class Encoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
+        self.library, self.merges = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for one in (self.library, self.merges):
+            one.no_truncation()
+            one.no_padding()
+        self.merges.normalizer, self.merges.pre_tokenizer = None, WhitespaceSplit()
+        self.stop = np.array(self.merges.encode(".", add_special_tokens=False).ids, "<u4")
         self.mark = np.array(self.library.encode(MARK, add_special_tokens=False).ids, "<u4")
         self.known: dict[bytes, bytes] = {}
         self.returned: set[bytes] = set()
@@ -188,18 +197,28 @@ class Encoder:
         found = data.replace(b"\n", b" ").split(b" ")
         return [p.lower() if p.isascii() else p for p in found] if plain else found
 
-    def _ask(self, missing: list[bytes]) -> None:
-        """One call for all: a word that no part holds stands between them and shows where they end."""
-        plain = [p.decode() for p in missing if ODD(p) is None]
-        joined = self.library.encode_batch_fast([f" {MARK} ".join(plain)], add_special_tokens=False)
-        ids, size = np.array(joined[0].ids, "<u4"), len(self.mark)
-        found = np.ones(max(0, len(ids) - size + 1), bool)
-        for k, one in enumerate(self.mark):
-            found &= ids[k:len(ids) - size + 1 + k] == one
+    def _cut(self, library, words: list[str], mark: str, size: np.ndarray) -> Iterator[bytes]:
+        """Ids of every word by one call: a mark that no word holds shows where they end."""
+        joined = library.encode_batch_fast([f" {mark} ".join(words)], add_special_tokens=False)
+        ids, width = np.array(joined[0].ids, "<u4"), len(size)
+        found = np.ones(max(0, len(ids) - width + 1), bool)
+        for k, one in enumerate(size):
+            found &= ids[k:len(ids) - width + 1 + k] == one
         ends, data = (np.flatnonzero(found) * 4).tolist(), ids.tobytes()
-        for part, begin, end in zip(plain, [0, *(e + 4 * size for e in ends)], [*ends, len(data)], strict=True):
-            self.known[part.encode()] = data[begin:end]
-        for part in missing:
+        return (data[begin:end] for begin, end in zip([0, *(e + 4 * width for e in ends)], [*ends, len(data)], strict=True))
+
+    def _ask(self, missing: list[bytes]) -> None:
+        """Latin words go to the merges as they are, in the symbols of their bytes; the rest takes the whole way."""
+        latin = [p for p in missing if LATIN_WORD(p)]
+        if latin:
+            small = [p if p.isascii() else p.decode().lower().encode() for p in latin]
+            words = [p.decode("latin-1").translate(SYMBOLS) for p in small]
+            self.known.update(zip(latin, self._cut(self.merges, words, ".", self.stop)))
+        rest = [p for p in missing if not LATIN_WORD(p)]
+        plain = [p for p in rest if ODD(p) is None]
+        if plain:
+            self.known.update(zip(plain, self._cut(self.library, [p.decode() for p in plain], MARK, self.mark)))
+        for part in rest:
             if ODD(part) is not None:
                 found = self.library.encode(part.decode(), add_special_tokens=False)
                 self.known[part] = np.array(found.ids, "<u4").tobytes()
@@ -250,7 +269,6 @@ def write(docs: DataFrame, path: str, end_id: int = 1, planes: int = 4) -> DataF
     that repeats very often is spread as well; a task streams its range into one file.
     """
     spark = docs.sparkSession
-    small_batches(spark, 200)
     folder, end = new_folder(spark, "planes"), np.array([end_id], "<u4").tobytes()
 
     def write_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,8 +290,9 @@ def write(docs: DataFrame, path: str, end_id: int = 1, planes: int = 4) -> DataF
         docs.select("doc_id", "text", text_key().alias("__key"))
         .repartitionByRange(*order).sortWithinPartitions(*order)
     )
-    files = saved(
-        ranged.mapInArrow(write_range, "part int, path string, n_docs long, n_ids long"), "plane-files")
+    with arrow_batches(spark, 2_000, BATCH_BYTES):
+        files = saved(
+            ranged.mapInArrow(write_range, "part int, path string, n_docs long, n_ids long"), "plane-files")
     # One row per file: small enough for one task.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
