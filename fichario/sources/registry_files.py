@@ -29,7 +29,7 @@ def read_delimited(
 
     Short rows are padded with NULL and extra fields dropped. ``multi_line`` allows line breaks
     inside quoted fields, at the price of one task per file; set it to False for releases known
-    to have none, and large files are split.
+    to have none, and large files are split. ``ranges.read_ranges`` splits both.
     """
     rows = (
         spark.read.schema(DATASETS[kind].raw_schema)
@@ -67,7 +67,7 @@ def _uri(path: str) -> str:
     return path if "://" in path else "file://" + path
 
 
-def _open(path: str):
+def open_input(path: str):
     """Seekable input stream on any file system Arrow knows (local, HDFS, object stores)."""
     system, inner = fs.FileSystem.from_uri(_uri(path))
     return system.open_input_file(inner)
@@ -75,7 +75,7 @@ def _open(path: str):
 
 def _snapshot_rows(path: str) -> Iterator[list[str]]:
     """Rows of the first file in a ZIP, decompressed as a stream."""
-    with _open(path) as source, zipfile.ZipFile(source) as archive:
+    with open_input(path) as source, zipfile.ZipFile(source) as archive:
         members = [m for m in archive.infolist() if not m.is_dir()]
         if not members:
             raise ValueError(f"ZIP without files: {path}")
