@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from fichario import constants as K
 from fichario.functions import registry as R
-from fichario.operators import skew
+from fichario.operators import by_root, skew
+from fichario.operators.by_root import ByRoot
 
 
 @dataclass(frozen=True)
@@ -106,6 +107,12 @@ def follow_branches(
     )
 
 
+def follow_stored(rows: ByRoot, branches: ByRoot) -> DataFrame:
+    """F8 over tables stored by root: no shuffle, no counts."""
+    named = branches.map(lambda part: part.select("cnpj_basico").filter(F.col("cnpj_basico") != ""))
+    return by_root.join(rows, named, "left_semi").all()
+
+
 def restrict_lookup(lookup: DataFrame, cnaes) -> DataFrame:
     """activity lookup limited to the wanted codes."""
     return lookup.filter(R.normalize_cnae(F.col("codigo")).isin(*cnaes))

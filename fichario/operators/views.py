@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from fichario import constants as K
 from fichario.functions.registry import phone_text
-from fichario.operators import skew
+from fichario.operators import by_root, skew
+from fichario.operators.by_root import ByRoot
 from fichario.operators.filters import is_active, is_retail
 
 Tables = Mapping[str, DataFrame]
@@ -37,6 +38,21 @@ def complete_companies(t: Tables, hot_rows: int = skew.HOT_ROWS) -> DataFrame:
         .join(skew.copy_per_salt(companies, "cnpj_basico", hot), root)
         .join(skew.copy_per_salt(simples, "cnpj_basico", hot), root, "left")
     )
+    return _described(joined, t)
+
+
+def stored_companies(roots: Mapping[str, ByRoot], t: Tables) -> DataFrame:
+    """J1 over tables stored by root: branches, companies and tax regimes meet where they lie, and
+    nothing is counted; lookups come from ``t``."""
+    companies = roots["empresas"].map(lambda rows: rows.select(
+        "cnpj_basico", "razao_social", "natureza_juridica", "capital_social", "porte"))
+    simples = roots["simples"].map(lambda rows: rows.select("cnpj_basico", "opcao_simples", "opcao_mei"))
+    joined = by_root.join(by_root.join(roots["estabelecimentos"], companies), simples, "left")
+    return _described(joined.all(), t)
+
+
+def _described(joined: DataFrame, t: Tables) -> DataFrame:
+    """Lookup descriptions, and the columns of the view."""
     for table, code, description in (
         ("cnaes", "cnae_fiscal_principal", "cnae_principal_descricao"),
         ("municipios", "municipio", "municipio_descricao"),
