@@ -14,6 +14,15 @@ def counts_by(rows: DataFrame, column: str, keep_null: bool = False) -> DataFram
     return kept.groupBy(column).agg(F.count(F.lit(1)).alias("total"))
 
 
+def section_counts(rows: DataFrame, *columns: str) -> DataFrame:
+    """A3: rows per value of several columns, a section (secao, valor, total) each; one scan."""
+    pairs = [F.struct(F.lit(c).alias("secao"), F.col(c).cast("string").alias("valor")) for c in columns]
+    return (
+        rows.select(F.explode(F.array(*pairs)).alias("x")).select("x.secao", "x.valor")
+        .filter(F.col("valor").isNotNull()).groupBy("secao", "valor").agg(F.count(F.lit(1)).alias("total"))
+    )
+
+
 def valid_contact_counts(state: DataFrame) -> DataFrame:
     """A2."""
     return state.agg(
