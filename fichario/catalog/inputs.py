@@ -5,7 +5,8 @@ sides start from the same raw text rows. Everything after that - cleaning, typin
 DataFrame code here and independent SQL in ``oracle``.
 
 The projections keep every row of their source table. Variety (blank names, free e-mail, broken
-dates and so on) is spread over the rows by key arithmetic.
+dates and so on) is spread over the rows by key arithmetic; where one side of a join must lack rows of
+the other, the keys of some rows are moved out of the range of all others.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fichario import constants as K
+from fichario.operators import by_root
+from fichario.operators.by_root import ByRoot
 from fichario.operators.clean import clean_rows
-from fichario.operators.views import Tables, complete_companies, prospect_candidates
+from fichario.operators.views import Tables, prospect_candidates, stored_companies
 from fichario.plans.enrich import analyze_pages
 from fichario.schemas import DATASETS
 from fichario.session import new_folder
@@ -59,6 +62,13 @@ ROOT = pad("o_custkey", 8)
 BRANCH = f"({ROOT}) || ({_SUFFIX})"
 _GROUP = whole("o_orderkey / 10")
 
+
+def moved(condition: str, key: str) -> str:
+    """A zero-padded key, moved out of the range of all others where the condition holds."""
+    return f"CASE WHEN {condition} THEN '9' || substr({key}, 2) ELSE {key} END"
+
+
+
 TRADE_NAME = f"""CASE CAST(o_orderkey % 8 AS int)
       WHEN 0 THEN '' WHEN 1 THEN '   '
       WHEN 2 THEN 'Loja Central ' || {text(f'{_GROUP} % 600')}
@@ -151,21 +161,23 @@ RAW: dict[str, str] = {
       {text('l_linenumber')} AS faixa_etaria
     FROM {{lineitem}}""",
     "raw_simples": f"""
-    SELECT {pad('c_custkey', 8)} AS cnpj_basico,
+    SELECT {pad("CASE WHEN c_mktsegment = 'MACHINERY' THEN c_custkey + 90000000 ELSE c_custkey END", 8)}
+        AS cnpj_basico,
       CASE WHEN c_custkey % 2 = 0 THEN 'S' ELSE 'N' END AS opcao_simples,
       '20200101' AS data_opcao_simples, '00000000' AS data_exclusao_simples,
       CASE WHEN c_custkey % 5 = 0 THEN 'S' ELSE 'N' END AS opcao_mei,
       CASE WHEN c_custkey % 5 = 0 THEN '20210630' ELSE '' END AS data_opcao_mei,
       '' AS data_exclusao_mei
-    FROM {{customer}} WHERE c_mktsegment <> 'MACHINERY'""",
+    FROM {{customer}}""",
     "raw_cnaes": f"""
     SELECT {packed([*_ACTIVITY, '0111301'], 'n_nationkey % 25')} AS codigo,
       'Atividade ' || n_name AS descricao FROM {{nation}}""",
     "raw_municipios": f"""
     SELECT {pad('n_nationkey', 4)} AS codigo, 'São ' || n_name AS descricao FROM {{nation}}""",
     "raw_naturezas": f"""
-    SELECT {pad('n_nationkey', 4)} AS codigo, ' Natureza ' || n_name || ' ' AS descricao
-    FROM {{nation}} WHERE n_nationkey <> 13""",
+    SELECT {pad('CASE WHEN n_nationkey = 13 THEN 9013 ELSE n_nationkey END', 4)} AS codigo,
+      ' Natureza ' || n_name || ' ' AS descricao
+    FROM {{nation}}""",
     "population": f"""
     SELECT {text('1100000 + n_nationkey')} AS codigo_ibge,
       {packed(_STATES, 'n_nationkey % 5')} AS uf, {pad('n_nationkey', 4)} AS codigo,
@@ -187,7 +199,8 @@ RAW: dict[str, str] = {
     FROM {{part}}""",
     # What is stored about the enrichment of most branches.
     "state": f"""
-    SELECT {BRANCH} AS cnpj, {ROOT} AS cnpj_basico,
+    SELECT {moved("o_orderpriority = '5-LOW'", BRANCH)} AS cnpj,
+      {moved("o_orderpriority = '5-LOW'", ROOT)} AS cnpj_basico,
       CASE CAST(o_orderkey % 6 AS int) WHEN 0 THEN 'done' WHEN 1 THEN 'partial'
         WHEN 2 THEN 'no_site' WHEN 3 THEN 'failed' WHEN 4 THEN 'done' ELSE 'pending' END
         AS enrich_status,
@@ -267,7 +280,7 @@ RAW: dict[str, str] = {
       CASE WHEN o_custkey % 5 = 0 THEN 'S' ELSE 'N' END AS opcao_mei,
       CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE {packed(_ACTIVITY, 'o_orderkey % 24')} END
         AS cnae_fiscal_principal
-    FROM {{orders}} WHERE o_orderpriority <> '5-LOW'""",
+    FROM {{orders}}""",
     # Crawled pages: one site per 14 page ids (landing page and inner paths), with shop snippets
     # and the details of the branch that owns the site.
     "site_pages": f"""
@@ -335,14 +348,14 @@ RAW: dict[str, str] = {
     ),
     # Records of an external lead provider for some branches.
     "providers": f"""
-    SELECT {BRANCH} AS cnpj,
+    SELECT {moved("o_orderpriority NOT IN ('1-URGENT', '2-HIGH')", BRANCH)} AS cnpj,
       CASE WHEN o_orderkey % 3 = 0 THEN 'http://www.loja' || {text('o_orderkey % 600')} || '.com.br'
         WHEN o_orderkey % 3 = 1 THEN '' ELSE NULL END AS website,
       CASE WHEN o_orderkey % 4 = 0 THEN 'R$ 1M' ELSE '' END AS faixa_faturamento_empresa,
       CASE WHEN o_orderkey % 4 = 1 THEN 'R$ 2M' ELSE NULL END AS faixa_faturamento_cnpj,
       CASE WHEN o_orderkey % 2 = 0 THEN 'Admin ' || {text('o_custkey')} ELSE NULL END
         AS administrador
-    FROM {{orders}} WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')""",
+    FROM {{orders}}""",
     # Enrichment attempts: one per event; a run is a day, a company is a user.
     "attempts": f"""
     SELECT event_id, {pad('user_id', 14)} AS cnpj, ts,
@@ -362,6 +375,8 @@ TABLES = (
 
 
 _SAVED: dict[tuple[str, str, str], str] = {}
+_ROOTS: dict[tuple[str, str, str], ByRoot] = {}
+_HOT: dict[tuple[str, str, str], list[str]] = {}
 
 
 class Inputs:
@@ -407,11 +422,23 @@ class Inputs:
         return self.saved(name, lambda: self.raw(name, spread=True), spread)
 
     def typed(self, name: str, kind: str) -> DataFrame:
-        def build() -> DataFrame:
-            rows = clean_rows(self.raw(name, spread=True), kind, COMPETENCE)
-            return rows if DATASETS[kind].is_lookup else rows.withColumn("updated_at", self.now)
-
-        return self.saved(f"typed_{name}", build)
+        """A lookup table; tables with a company root are stored by it, see ``by_root``."""
+        return self.saved(f"typed_{name}", lambda: clean_rows(self.raw(name, spread=True), kind, COMPETENCE))
+
+    def hot_roots(self) -> list[str]:
+        key = (self.spark.sparkContext.applicationId, self.folder, "hot_roots")
+        if key not in _HOT:
+            _HOT[key] = by_root.hot_roots(
+                [self.raw(name).select("cnpj_basico") for name in ("raw_estabelecimentos", "raw_socios")])
+        return _HOT[key]
+
+    def by_root(self, name: str, kind: str) -> ByRoot:
+        key = (self.spark.sparkContext.applicationId, self.folder, f"root_{name}")
+        if key not in _ROOTS:
+            rows = clean_rows(self.raw(name, spread=True), kind, COMPETENCE).withColumn("updated_at", self.now)
+            buckets = self.spark.sparkContext.defaultParallelism
+            _ROOTS[key] = by_root.store(rows, new_folder(self.spark, f"root_{name}"), buckets, self.hot_roots())
+        return _ROOTS[key]
 
     @property
     def now(self):
@@ -474,7 +501,7 @@ class Inputs:
 
     @cached_property
     def complete(self) -> DataFrame:
-        return complete_companies(self.registry)
+        return stored_companies(self.registry.roots, self.registry)
 
     @cached_property
     def candidates(self) -> DataFrame:
@@ -494,10 +521,18 @@ class Registry(Mapping):
         "naturezas_juridicas": ("raw_naturezas", "Naturezas"),
     }
 
+    BY_ROOT = ("empresas", "estabelecimentos", "socios", "simples")
+
     def __init__(self, inputs: Inputs):
         self.inputs = inputs
 
+    @property
+    def roots(self) -> dict[str, ByRoot]:
+        return {t: self.inputs.by_root(*self.SOURCES[t]) for t in self.BY_ROOT}
+
     def __getitem__(self, table: str) -> DataFrame:
+        if table in self.BY_ROOT:
+            return self.inputs.by_root(*self.SOURCES[table]).all()
         return self.inputs.typed(*self.SOURCES[table])
 
     def __iter__(self):

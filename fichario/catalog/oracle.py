@@ -680,6 +680,11 @@ _STATEMENTS = {
       coalesce(CAST(capital_social AS DOUBLE), -1)
     FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY f DESC) AS rk FROM {_UPDATES})
     WHERE rk = 1""",
+    "s10_change_rows": f"""
+    SELECT k AS cnpj_basico, r AS razao_social, 'unchanged' AS second_change,
+      CASE WHEN k IN (SELECT cnpj_basico FROM empresas) THEN 'updated' ELSE 'inserted' END AS first_change
+    FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY f DESC) AS rk FROM {_UPDATES})
+    WHERE rk = 1""",
     "s11_lookup_upsert": """
     SELECT m.codigo, CASE WHEN n.n_regionkey = 1 THEN 'Nova ' || n_name ELSE m.descricao END AS descricao
     FROM municipios m JOIN nation n ON lpad(CAST(n_nationkey AS VARCHAR), 4, '0') = m.codigo
@@ -780,6 +785,10 @@ _STATEMENTS = {
     "j9_place_scores": "SELECT cnpj, place_id, match_score FROM place_scored",
     "j10_provider_overlay": f"SELECT cnpj, {txt('site_url', 'site_source', 'faturamento_estimado', 'faturamento_estimado_fonte', 'decisor_nome')} FROM profiled",
     "a1_status_counts": "SELECT enrich_status, count(*) AS total FROM state GROUP BY 1",
+    "a1_kept_counts": """
+    SELECT CASE WHEN situacao_cadastral = '08' THEN 'done' ELSE enrich_status END AS enrich_status, count(*) AS total
+    FROM state s FULL JOIN (SELECT cnpj, situacao_cadastral FROM estabelecimentos WHERE situacao_cadastral = '08') b
+      ON s.cnpj = b.cnpj GROUP BY 1""",
     "a2_valid_contacts": "SELECT count(*) FILTER (site_valid) AS sites_valid, count(*) FILTER (whatsapp_valid) AS whatsapps_valid FROM state",
     "a3_maturity_counts": " UNION ALL ".join(map(named_count, ("commerce_maturity", "presence_maturity", "lead_classification"))),
     "a4_top_platforms": "SELECT plataforma, count(*) AS total FROM state WHERE plataforma IS NOT NULL GROUP BY 1 ORDER BY total DESC, plataforma LIMIT 10",

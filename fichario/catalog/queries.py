@@ -18,13 +18,14 @@ from fichario.functions import pages as P
 from fichario.functions import registry as R
 from fichario.functions import urls
 from fichario.functions.text import clean_text, normalize_text
-from fichario.operators import contacts, filters, leads, pages, queue, reports, sites, upsert, views
+from fichario.operators import (
+    changes, contacts, filters, leads, pages, queue, reports, sites, upsert, views)
 from fichario.operators.clean import clean_rows
 from fichario.plans import enrich, ingest
 from fichario.schemas import DATASETS
 from fichario.session import new_folder
 from fichario.sources import population as pop
-from fichario.sources import registry_files, releases
+from fichario.sources import ranges, registry_files, releases
 from fichario.streaming import releases as stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,7 +69,7 @@ def s1_registry_scan(i: Inputs) -> DataFrame:
     """Company rows written in the release format and read back."""
     path = new_folder(i.spark, "release")
     registry_files.write_delimited(i.raw("raw_empresas"), "Empresas", path)
-    rows = registry_files.read_delimited(i.spark, path, "Empresas")
+    rows = ranges.read_ranges(i.spark, path, "Empresas", range_bytes=1 << 20)
     return rows.select(*filled(*DATASETS["Empresas"].columns))
 
 
@@ -191,6 +192,19 @@ def s10_fact_upsert(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def s10_change_rows(i: Inputs) -> DataFrame:
+    """What a merge of changed companies does to each, and what the same merge does once more."""
+    now, order = F.lit("2026-08-02 00:00:00").cast("timestamp"), ["competence", "file_name", "row_id"]
+    base = changes.hashed(i.registry["empresas"], "cnpj_basico")
+    updates = _company_updates(i)
+    first = changes.merge_changes(base, updates, "cnpj_basico", now, order)
+    table = changes.apply_changes(base, first, "cnpj_basico")
+    again = changes.merge_changes(table, updates, "cnpj_basico", now, order)
+    return first.select("cnpj_basico", F.col("change").alias("first_change"), "after.razao_social").join(
+        again.select("cnpj_basico", F.col("change").alias("second_change")), "cnpj_basico")
+
+
 @query
 def s11_lookup_upsert(i: Inputs) -> DataFrame:
     nations = i.table("nation").select(
@@ -460,9 +474,10 @@ def f7_branch_filter(i: Inputs) -> DataFrame:
 
 @query
 def f8_follow_branches(i: Inputs) -> DataFrame:
-    accepted = _branches(i).filter(filters.branch_condition(filters.BranchFilter()))
-    kept = filters.follow_branches(i.registry["socios"], accepted, ["id"])
-    return kept.select("id", "cnpj_basico")
+    roots = i.registry.roots
+    accepted = roots["estabelecimentos"].map(
+        lambda rows: rows.filter(filters.branch_condition(filters.BranchFilter())))
+    return filters.follow_stored(roots["socios"], accepted).select("id", "cnpj_basico")
 
 
 @query
@@ -593,6 +608,18 @@ def a1_status_counts(i: Inputs) -> DataFrame:
     return reports.counts_by(i.state, "enrich_status", keep_null=True)
 
 
+@query
+def a1_kept_counts(i: Inputs) -> DataFrame:
+    """Status counts kept by the changes of a merge instead of a recount."""
+    columns = ["cnpj", "cnpj_basico", "enrich_status", "lead_score"]
+    base = changes.hashed(i.state.select(*columns), "cnpj")
+    counted = reports.counts_by(base, "enrich_status", keep_null=True)
+    closed = i.registry["estabelecimentos"].filter("situacao_cadastral = '08'").select(
+        "cnpj", "cnpj_basico", F.lit("done").alias("enrich_status"), F.lit(77).alias("lead_score"))
+    merged = changes.merge_changes(base, closed, "cnpj", i.now)
+    return changes.apply_deltas(counted, changes.count_deltas(merged, "enrich_status"), "enrich_status")
+
+
 @query
 def a2_valid_contacts(i: Inputs) -> DataFrame:
     return reports.valid_contact_counts(i.state)
@@ -601,14 +628,7 @@ def a2_valid_contacts(i: Inputs) -> DataFrame:
 @query
 def a3_maturity_counts(i: Inputs) -> DataFrame:
     """Counts of three maturities, one section each."""
-    names = ("commerce_maturity", "presence_maturity", "lead_classification")
-    parts = [
-        reports.counts_by(i.state, n).select(
-            F.lit(n).alias("secao"), F.col(n).alias("valor"), "total"
-        )
-        for n in names
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reports.section_counts(i.state, "commerce_maturity", "presence_maturity", "lead_classification")
 
 
 @query
