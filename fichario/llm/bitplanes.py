@@ -38,7 +38,7 @@ MAGIC = b"BPLN"
 HEADER, TRAILER = struct.Struct("<4sHBBI"), struct.Struct("<QQQQQ4s")
 BLOCK_IDS = 65_536
 LEVEL = 3
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
 CACHED_CHARS = 64
 BATCH_BYTES = 4 << 20  # of texts that a task takes at once
 MARK = "\ue000"  # a word of its own, for which the vocabulary has bytes only
