@@ -1,10 +1,14 @@
 """Personal data: fixed patterns, and identifiers found by the contexts that seeds teach.
 
-One pass over the texts gives the base spans and, for every token that could be an identifier (it has
-digits and is no base span), its context, the two words before it. From then on only these short
+One pass over the texts gives the base spans and, for every token that could be an identifier, its
+contexts. A token could be one if it has digits and four characters, or stands behind a label (`key:`,
+`key = "`) and has eight; groups that follow it (`DE89 3704 0044`) belong to it. Nothing has an upper
+length. A context is the two words before, or the label with its punctuation and without its spaces,
+so `token = "x"` and `token="x"` are one. Both are kept as hashes. From then on only these short
 occurrences are worked on, as DataFrames:
 
-    seeds      the base spans, whatever their kind, with their contexts
+    seeds      the base spans, whatever their kind, and tokens shaped like keys (long, letters and
+               digits in constant change), with their contexts
     patterns   contexts of at least MIN_SEEDS different seeds, whatever the size of the corpus
     corpus     how often each pattern occurs at all, whatever follows, over all texts; before that,
                counts over parts of the texts rule out what could not be confident even if all that
@@ -12,10 +16,11 @@ occurrences are worked on, as DataFrames:
     graph      pattern - instance edges with counts, aggregated before every shuffle
     scores     a pattern scores the confidence that follows it per occurrence in the corpus; an
                instance scores by its best patterns together (noisy or); some rounds
-    discovery  occurrences that confident patterns cover become spans of kind id
+    discovery  occurrences that confident patterns cover become spans of kind id, base spans aside
 
 So a pattern has to precede personal data nearly always before anything is taken on its word; common
-prose that happens to precede an address somewhere never does.
+prose that happens to precede an address somewhere never does. A token shaped like a key is a span
+only behind a confident pattern: the shape teaches, it does not decide.
 """
 
 from __future__ import annotations
@@ -47,8 +52,17 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SPACES = " \t\n\x0b\x0c\r"
-_EDGE = re.compile(r"^[^0-9A-Za-z+@]+|[^0-9A-Za-z]+$")
-CONTEXT_CHARS = 200
+_MARKS = "=:#"
+_BETWEEN = "=:# \t\"'(<["
+_TRIGGER = re.compile(r"[0-9]++|[=:#][=:#\x20\t\"'(<\[]*+")
+_GROUP = re.compile(r"[A-Z]*+[0-9][0-9A-Z]++")
+_NEXT_GROUP = re.compile(r"\x20[A-Z]*+[0-9][0-9A-Z]*+(?![^\x20\x09-\x0D.,;:!?\"')\]>}])")
+_KEY = re.compile(r"[A-Za-z0-9+/=_-]{20,}")
+_CHANGE = re.compile(r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])")
+# a label with what stands between it and the next word
+_LABEL = (r"(?<![\p{L}\p{N}_])[\p{L}\p{N}_]++(?=[\x20\t\"'(<\[]*+[=:#])[=:#\x20\t\"'(<\[]++"
+          r"(?=[^\x20\x09-\x0D])")
+MIN_TOKEN, MIN_LABELLED = 4, 8  # characters, with and without digits
 ROW_PATTERNS = 10_000  # so few are looked up inside the row, before its contexts become rows
 BROADCAST_PATTERNS = 1_000_000  # rows of 8 bytes; beyond that the patterns are joined by shuffle
 
@@ -102,42 +116,93 @@ def base_spans(text: str | None) -> dict[str, list[Span]]:
     return out
 
 
-def _context(text: str, begin: int) -> str | None:
-    """The two words before the word that a place lies in, in lower case."""
-    low = max(0, begin - CONTEXT_CHARS)
-    words = _WORD.findall(text, low, begin)
-    if words and text[begin - 1] not in _SPACES:
-        words.pop()  # the beginning of the word itself
-    if len(words) < 2 + (low > 0):  # the first may be cut
-        return None
-    return f"{words[-2]} {words[-1]}".lower()
+def shaped_like_key(token: str) -> bool:
+    """Long, of the characters of keys, and changing between letters and digits all along."""
+    return _KEY.fullmatch(token) is not None and 8 * len(_CHANGE.findall(token)) >= len(token)
 
 
-def occurrences(text: str | None, spans: dict[str, list[Span]]) -> Iterator[tuple[int, int, str, bool, str]]:
-    """(start, end, instance, is seed, pattern) of base spans and of other tokens with digits; an
-    instance is the value in lower case."""
-    text = text or ""
-    taken = sorted(span for found in spans.values() for span in found)
-    places = [(s, e, True) for s, e in taken]
-    at, next_ = 0, 0
-    for hit in _DIGIT.finditer(text):
-        if hit.start() < at:
+def _candidates(text: str, taken: list[Span]) -> Iterator[Span]:
+    """Tokens that could be identifiers and touch no base span, in linear time."""
+    at, next_, word = 0, 0, 0  # word: where the last word ends
+    for hit in _TRIGGER.finditer(text):
+        begin, end = hit.span()
+        if begin < at:
             continue
-        begin = hit.start()
-        while begin > at and text[begin - 1] not in _SPACES:
-            begin -= 1
-        at = _WORD.match(text, begin).end()
-        token = _EDGE.sub("", text[begin:min(at, begin + 256)])
-        if not 4 <= len(token) <= 64:
+        if labelled := text[begin] in _MARKS:
+            begin = end
+            if begin == len(text) or text[begin] in _SPACES:
+                continue
+        else:
+            while begin > at and text[begin - 1] not in _SPACES:
+                begin -= 1
+        if begin >= word:
+            word = _WORD.match(text, begin).end()
+        end = word
+        if labelled and (inner := _TRIGGER.search(text, begin, end)) and set("=\"'") & set(inner[0]):
+            continue  # a label of its own: its turn comes
+        at = end
+        while begin < end and not (text[begin].isascii() and (text[begin].isalnum() or text[begin] in "+@")):
+            begin += 1
+        while end > begin and not (text[end - 1].isascii() and text[end - 1].isalnum()):
+            end -= 1
+        plain = labelled and _DIGIT.search(text, begin, end) is None
+        if end - begin < (MIN_LABELLED if plain else MIN_TOKEN):
             continue
-        begin = text.index(token, begin)
         while next_ < len(taken) and taken[next_][1] <= begin:
             next_ += 1
-        if next_ == len(taken) or taken[next_][0] >= begin + len(token):
-            places.append((begin, begin + len(token), False))
-    for start, stop, seed in places:
-        if (pattern := _context(text, start)) is not None:
-            yield start, stop, text[start:stop].lower(), seed, pattern
+        limit = taken[next_][0] if next_ < len(taken) else len(text)
+        if _GROUP.fullmatch(text, begin, end):
+            while (more := _NEXT_GROUP.match(text, end)) and more.end() <= limit:
+                end = more.end()
+            at = max(at, end)
+        if end <= limit:
+            yield begin, end
+
+
+def _before(text: str, at: int) -> Span:
+    """The word that ends before a place; empty where there is none."""
+    while at and text[at - 1] in _SPACES:
+        at -= 1
+    begin = at
+    while begin and text[begin - 1] not in _SPACES:
+        begin -= 1
+    return begin, at
+
+
+def _label(text: str, at: int) -> str | None:
+    """The label before a place: a word, then punctuation with a mark in it; spaces left out."""
+    end = at
+    while end and text[end - 1] in _BETWEEN:
+        end -= 1
+    between = text[end:at]
+    if not any(mark in between for mark in _MARKS):
+        return None
+    begin = end
+    while begin and (text[begin - 1].isalnum() or text[begin - 1] == "_"):
+        begin -= 1
+    return text[begin:end].lower() + re.sub("[ \t]+", "", between) if begin < end else None
+
+
+def occurrences(text: str | None, spans: dict[str, list[Span]]) -> Iterator[tuple[int, int, int, bool, bool, int]]:
+    """(start, end, instance, is seed, is open, pattern) of base spans and other candidates, once per
+    context; open ones are no base spans. Instance (value in lower case) and pattern are hashes."""
+    text = text or ""
+    taken = sorted(span for found in spans.values() for span in found)
+    places = [(s, e, True, False) for s, e in taken]
+    places += [(s, e, shaped_like_key(text[s:e]), True) for s, e in _candidates(text, taken)]
+    word, end, two = 0, 0, None
+    for start, stop, seed, open_ in sorted(places):
+        if not word <= start < end:  # another word than the last place's
+            word, low = start, end if end <= start else 0
+            while word > low and text[word - 1] not in _SPACES:
+                word -= 1
+            end = _WORD.match(text, start).end()
+            last = _before(text, word)
+            first = _before(text, last[0])
+            two = f"{text[slice(*first)]} {text[slice(*last)]}".lower() if first[0] < first[1] else None
+        for pattern in (two, _label(text, start)):
+            if pattern is not None:
+                yield start, stop, pattern_hash(text[start:stop].lower()), seed, open_, pattern_hash(pattern)
 
 
 def _joined(kind: str, spans: list[Span]) -> list[str]:
@@ -148,11 +213,12 @@ SCAN = pa.schema([
     ("doc_id", pa.int64()), ("text_key", pa.int64()), ("row_id", pa.int64()), ("n_email", pa.int64()), ("n_ip", pa.int64()),
     ("n_card", pa.int64()), ("n_phone", pa.int64()), ("base", pa.string()),
     ("found", pa.list_(pa.struct([
-        ("start", pa.int64()), ("stop", pa.int64()), ("instance", pa.string()), ("seed", pa.bool_()),
-        ("pattern", pa.string())])))])
+        ("start", pa.int64()), ("stop", pa.int64()), ("instance", pa.int64()), ("seed", pa.bool_()),
+        ("open", pa.bool_()), ("h", pa.int64())])))])
+FOUND_FIELDS = ("start", "stop", "instance", "seed", "open", "h")
 SCAN_DDL = (
     "doc_id long, text_key long, row_id long, n_email long, n_ip long, n_card long, n_phone long, base string, "
-    "found array<struct<start: long, stop: long, instance: string, seed: boolean, pattern: string>>")
+    "found array<struct<start: long, stop: long, instance: long, seed: boolean, open: boolean, h: long>>")
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +228,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc_id, key, number, text in zip(ids, keys, numbers, batch.column("text").to_pylist()):
             spans = base_spans(text)
             base = [s for kind in KINDS for s in _joined(kind, spans[kind])]
-            found = [dict(zip(("start", "stop", "instance", "seed", "pattern"), x)) for x in occurrences(text, spans)]
+            found = [dict(zip(FOUND_FIELDS, x)) for x in occurrences(text, spans)]
             rows.append((doc_id, key, number, *[len(spans[k]) for k in KINDS], ",".join(base), found))
         columns = list(zip(*rows)) or [()] * len(SCAN)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, SCAN)], schema=SCAN)
@@ -171,21 +237,27 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def corpus_counts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     """h, total: how often each of patterns (h) stands before any word, over all texts."""
     n = patterns.count()
-    lower = words(F.lower("text"))
-    hashes = F.transform(
+    text = F.coalesce(F.col("text"), F.lit(""))
+    pairs = F.transform(
         F.sequence(F.lit(2), F.size("w") - 1),
         lambda i: F.xxhash64(F.concat_ws(" ", F.get("w", i - 2), F.get("w", i - 1))))
+    labels = F.transform(
+        F.regexp_extract_all(text, F.lit(_LABEL), F.lit(0)),
+        lambda x: F.xxhash64(F.lower(F.regexp_replace(x, r"[\x20\t]+", ""))))
+    kept = (pairs, labels)
     if n <= ROW_PATTERNS:
         wanted = [r.h for r in patterns.collect()]
-        hashes = F.filter(hashes, lambda h: h.isin(wanted))
-    pairs = docs.select(lower.alias("w")).filter("size(w) > 2").select(F.explode(hashes).alias("h"))
+        kept = tuple(F.filter(x, lambda h: h.isin(wanted)) for x in kept)
+    none = F.array().cast("array<bigint>")
+    hashes = F.concat(F.when(F.size("w") > 2, kept[0]).otherwise(none), kept[1])
+    all_ = docs.select("text", words(F.lower("text")).alias("w")).select(F.explode(hashes).alias("h"))
     if n > ROW_PATTERNS:
-        pairs = pairs.join(F.broadcast(patterns) if n <= BROADCAST_PATTERNS else patterns, "h")
-    return pairs.groupBy("h").agg(F.count("*").alias("total"))
+        all_ = all_.join(F.broadcast(patterns) if n <= BROADCAST_PATTERNS else patterns, "h")
+    return all_.groupBy("h").agg(F.count("*").alias("total"))
 
 
 def scored_patterns(found: DataFrame, docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """h (hash of the pattern), score from occurrences (instance, seed, pattern) and the texts.
+    """h (hash of the pattern), score from occurrences (instance, seed, h) and the texts.
 
     Score: confidence that follows the pattern / (its occurrences in the corpus + PRIOR). Confidence
     of an instance: 1 if it is a seed, else 1 minus the product of (1 - score) over its patterns that
@@ -195,7 +267,7 @@ def scored_patterns(found: DataFrame, docs: DataFrame, rounds: int = ROUNDS) ->
     the confidence that follows a pattern is at most the occurrences found after it, and its count in a
     part of the texts is at most its count in all.
     """
-    edges = found.groupBy(F.xxhash64("pattern").alias("h"), "instance").agg(
+    edges = found.groupBy("h", "instance").agg(
         F.count("*").alias("n"), F.max("seed").alias("seed"))
     edges = saved(edges, "pii-edges")
     induced = saved(
@@ -232,8 +304,8 @@ def _either() -> Column:
 
 def discovered(found: DataFrame, patterns: DataFrame) -> DataFrame:
     """row_id, start, stop of the occurrences whose pattern is confident."""
-    open_ = found.filter("not seed").select("row_id", "start", "stop", F.xxhash64("pattern").alias("h"))
-    return open_.join(patterns, "h").select("row_id", "start", "stop")
+    open_ = found.filter("open").select("row_id", "start", "stop", "h")
+    return open_.join(patterns, "h").select("row_id", "start", "stop").distinct()
 
 
 def _confident(scan: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -294,14 +366,13 @@ def pattern_hash(pattern: str) -> int:
 def _cleaned(text: str | None, good: frozenset[int]) -> str | None:
     base = base_spans(text)
     spans = [s for kind in KINDS for s in _joined(kind, base[kind])]
-    for start, stop, _, seed, pattern in occurrences(text, base) if good else ():
-        if not seed and pattern_hash(pattern) in good:
-            spans.append(f"{FOUND}:{start}:{stop}")
-    return masked(text, ",".join(spans))
+    ids = {(s, e) for s, e, _, _, open_, h in (occurrences(text, base) if good else ()) if open_ and h in good}
+    return masked(text, ",".join(spans + _joined(FOUND, sorted(ids))))
 
 
 def without_pii(docs: DataFrame) -> DataFrame:
-    """docs with all spans masked in text; rows, columns and everything else stay.
+    """docs with all spans masked in text; rows, columns and everything else stay. Null and empty texts
+    stay as they are, repeated rows are masked alike, an empty table gives no rows.
 
     The confident patterns go to the tasks; every text is scanned and masked where it lies. Should there
     ever be more than BROADCAST_PATTERNS, texts meet their spans by doc_id and text hash instead.

@@ -40,7 +40,8 @@ def test_base_spans_of_random_texts():
 
 def test_long_runs_take_linear_time():
     for text in ("a" * 300_000, "a." * 150_000, "1" * 300_000, "1." * 150_000, "@" * 300_000, "a@" * 150_000,
-                 "+1" + " " * 300_000, "+1" * 150_000, "1 " * 150_000, "+1 (" * 70_000):
+                 "+1" + " " * 300_000, "+1" * 150_000, "1 " * 150_000, "+1 (" * 70_000, "a=" * 150_000, "a: " * 100_000,
+                 "=" * 300_000, "A1 " * 100_000, "A" * 300_000 + " 1", "x:1 " * 70_000, 'a="' * 100_000):
         spans = pii.base_spans(text)
         list(pii.occurrences(text, spans))
 
@@ -110,3 +111,56 @@ def test_early_bounds_change_no_score(spark, monkeypatch):
 def test_masks_of_overlapping_spans():
     assert pii.masked("call +1 (988) 555-2485 4111111111111111!", "card:23:39,phone:5:39") == "call [PHONE]!"
     assert pii.masked("a b@c.de", "email:2:8") == "a [EMAIL]"
+
+
+def test_keys_by_shape_teach_their_contexts(spark):
+    random.seed(11)
+    key = lambda n: "".join(random.choices("0123456789abcdef", k=n))
+    keys = [key(40) for _ in range(30)]
+    rows = [(n, f'plain words here token = "{k}" and so on, see part {n}') for n, k in enumerate(keys)]
+    rows += [(100, 'config: token="short-7" end'), (101, 'a token: "nothing here" and "more" text'),
+             (102, f"a build of {key(40)} without a cue"), (103, 'a token = "withoutdigits" here'),
+             (104, f'the token = "{"ab1" * 40}" is long'), (105, f'{"w" * 400} token = "xy77z"'),
+             (106, "plain prose: something with 1234 words"), (107, 'the token = DE89 3704 0044 0532 0130 00, and 77 more')]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+    found = {i: [t[int(s):int(e)] for _, s, e in (x.split(":") for x in spans[i].split(",") if x)] for i, t in rows}
+    assert [found[n] for n in range(30)] == [[k] for k in keys]
+    # the label holds without spaces too only if it was taught that way; a bare key is no span
+    assert found[102] == found[106] == found[101] == []
+    assert found[100] == ["short-7"] and found[103] == ["withoutdigits"] and found[104] == ["ab1" * 40]
+    assert found[105] == ["xy77z"] and found[107] == ["DE89 3704 0044 0532 0130 00"]
+    clean = {r.doc_id: r.text for r in pii.without_pii(docs).collect()}
+    assert clean[107] == "the token = [ID], and 77 more" and clean[0] == 'plain words here token = "[ID]" and so on, see part 0'
+
+
+def test_counts_of_contexts_against_brute_force(spark):
+    random.seed(12)
+    bits = ["key", "key:", "key =", '"v7"', "Key=v8", "# 12", "x_y:(z9", "é:", "1.2.3.4", "\n", "word", "a:b:1234", "::", "'", "\t"]
+    texts = ["".join(random.choice(bits) + random.choice(["", " ", "  "]) for _ in range(12)) for _ in range(300)]
+    docs = spark.createDataFrame([(t,) for t in texts + ["", None]], "text string")
+    want = {}
+    for text in texts:
+        listed = [w for w in re.split(r"[\x20\x09-\x0D]+", text.lower()) if w]
+        names = [f"{a} {b}" for a, b in zip(listed, listed[1:-1])]
+        for m in re.finditer(r"(?<![^\W])(\w+)([=:#\x20\t\"'(<\[]+)(?=[^\x20\x09-\x0D=:#\"'(<\[])", text):
+            if re.search("[=:#]", m[2]):
+                names.append(m[1].lower() + re.sub("[ \t]", "", m[2]))
+        for name in names:
+            want[pii.pattern_hash(name)] = want.get(pii.pattern_hash(name), 0) + 1
+    patterns = spark.createDataFrame([(h,) for h in want], "h long")
+    assert {r.h: r.total for r in pii.corpus_counts(docs, patterns).collect()} == want
+    for text in texts:  # every context of a candidate is one that the texts are counted for
+        assert {h for *_, h in pii.occurrences(text, pii.base_spans(text))} <= set(want)
+
+
+def test_planted_keys_of_the_table(spark):
+    folder = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    planted = {i for i, t in texts.items() if re.search(r'token = "[0-9a-f]{40}"', t)}
+    rows = {r.doc_id: r for r in op4_pii(spark, folder).collect()}
+    found = {i for i, r in rows.items() if r.n_id}
+    assert len(planted) >= 8 and found == planted  # recall and precision 1 on the planted cue
+    for i in planted:
+        spans = [x.split(":") for x in rows[i].spans.split(",") if x.startswith("id:")]
+        assert all(re.fullmatch("[0-9a-f]{40}", texts[i][int(s):int(e)]) for _, s, e in spans)
