@@ -1,8 +1,10 @@
 """Sharding by fixed virtual slots and a versioned slot-to-shard map.
 
-A record's slot is a hash of its id and never changes. Bytes are summed per slot; the slots, of which
-there are some thousands whatever the number of records, are given to shards so that their bytes come
-out near equal. The map is a small table with a version. Rebalancing edits the map: slots move from
+A record's slot is a hash of its id and text and never changes. Records that are equal in both and so
+many that they would outweigh a slot are interchangeable: each draws a slot of its own. Equal texts
+under different ids are placed each for itself. Bytes are summed per slot; the slots, of which there
+are some thousands whatever the number of records, are given to shards so that their bytes come out
+near equal. The map is a small table with a version. Rebalancing edits the map: slots move from
 the fullest shards to the emptiest ones, all others stay where they are.
 """
 
@@ -10,23 +12,54 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fichario.llm.common import saved, text_key
 from fichario.session import new_folder
 
 SLOTS = 4_096
+HEAVY = 4  # a slot, or equal records, of more than so many mean slots
+PIECE_ROWS = 100_000  # records that are numbered together
 MAP = "version int, vslot int, shard int"
 
 
+def _slot(key: Column, slots: int) -> Column:
+    return F.pmod(key, F.lit(slots)).cast("int")
+
+
 def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """doc_id, size, text_crc32, vslot of every row; rows without id are spread by their text."""
+    """doc_id, size, text_crc32, text_key, key, vslot of every row, by id and text alone."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    key = F.xxhash64(F.col("doc_id"), F.when(F.col("doc_id").isNull(), text_key()))
-    return docs.select(
+    rows = docs.select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.pmod(key, F.lit(slots)).cast("int").alias("vslot"))
+        text_key().alias("text_key"))
+    return rows.withColumn("key", F.xxhash64("doc_id", "text_key")).withColumn("vslot", _slot(F.col("key"), slots))
+
+
+def repeats(rows: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """__id, __key: ids and text hashes of the equal records that weigh more than HEAVY mean slots, in
+    bytes or number. There are fewer than the slots, so they make a list. Only slots that weigh so
+    much can hold them: no other record is shuffled."""
+    loads = weights(rows)
+    size, n = (HEAVY * sum(x[k] for x in loads) / slots for k in (1, 2))
+    heavy = [v for v, bytes_, count in loads if bytes_ > size or count > n]
+    found = (
+        rows.filter(F.col("vslot").isin(heavy)).groupBy("doc_id", "text_key")
+        .agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+        .filter((F.col("n") > 1) & ((F.col("bytes") > size) | (F.col("n") > n)))
+        .select("doc_id", "text_key").collect())
+    return rows.sparkSession.createDataFrame([tuple(r) for r in found], "__id long, __key long")
+
+
+def spread(rows: DataFrame, hot: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """rows, those of hot with a key and slot by their place in the input, which reading again keeps."""
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key"))
+    own = F.when(F.col("__key").isNotNull(), F.xxhash64("key", "__n")).otherwise(F.col("key"))
+    return (
+        rows.withColumn("__n", F.monotonically_increasing_id()).join(F.broadcast(hot), same, "left")
+        .withColumn("key", own).withColumn("vslot", _slot(F.col("key"), slots)).drop("__n", "__id", "__key")
+    )
 
 
 def weights(rows: DataFrame) -> list[tuple[int, int, int]]:
@@ -97,31 +130,47 @@ def load_map(table: DataFrame) -> dict[int, int]:
 def placed(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
     """rows with shard and slot, the record's place in its shard, from 0 without gaps.
 
-    Places are numbered within each virtual slot and moved by the records of the shard's slots
-    before it, so that no shard is ever one task. The map has one row per slot: it is broadcast.
+    Places are numbered within pieces of a virtual slot, pieces being cut by the key so that they hold
+    about PIECE_ROWS records at any size, and moved by the records of the pieces and of the shard's slots
+    before, so that neither a shard nor a slot is ever one task. The map has one row per slot: it is
+    broadcast; the pieces' counts are joined as Spark sees fit.
     """
     spark = rows.sparkSession
     owner, before, starts = load_map(slot_map), {}, []
-    for vslot, _, n in weights(rows):
+    loads = weights(rows)
+    for vslot, _, n in loads:
         shard = owner[vslot]
         starts.append((vslot, shard, before.get(shard, 0)))
         before[shard] = before.get(shard, 0) + n
     table = spark.createDataFrame(starts, "vslot int, shard int, __base long")
-    order = Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size")
+    most = max((n for _, _, n in loads), default=0)
+    pieces = F.pmod(F.xxhash64("key"), F.lit(most // PIECE_ROWS + 1))
+    cut = rows.withColumn("__piece", pieces)
+    earlier = Window.partitionBy("vslot").orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+    counts = cut.groupBy("vslot", "__piece").agg(F.count("*").alias("__count")).select(
+        "vslot", "__piece", F.coalesce(F.sum("__count").over(earlier), F.lit(0)).alias("__before"))
+    order = Window.partitionBy("vslot", "__piece").orderBy("doc_id", "text_crc32", "size")
     return (
-        rows.withColumn("__n", F.row_number().over(order)).join(F.broadcast(table), "vslot")
-        .withColumn("slot", F.col("__base") + F.col("__n") - 1).drop("__n", "__base")
+        cut.withColumn("__n", F.row_number().over(order)).join(counts, ["vslot", "__piece"])
+        .join(F.broadcast(table), "vslot")
+        .withColumn("slot", F.col("__base") + F.col("__before") + F.col("__n") - 1)
+        .drop("__n", "__base", "__before", "__piece")
     )
 
 
 def assign(docs: DataFrame, shards: int = 16, slots: int = SLOTS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard, vslot, map_version of every row.
 
-    The law is `bytes`: shards' sizes come out near equal. Null texts have size 1; rows without id are
-    placed by their text; repeated rows are placed each for itself. An empty table gives no rows.
+    The law is `bytes`: shards' sizes come out near equal, also where one id, one text or both repeat in
+    a large part of the rows. Null texts have size 1; rows without id are placed by their text; repeated
+    rows are placed each for itself. An empty table gives no rows.
     """
+    spark = docs.sparkSession
     rows = saved(records(docs.select("doc_id", "text"), slots), "slot-records")
-    slot_map = store_map(docs.sparkSession, first_map(weights(rows), shards, slots), 1)
+    hot = repeats(rows, slots)
+    if not hot.isEmpty():
+        rows = saved(spread(rows, hot, slots), "slot-records")
+    slot_map = store_map(spark, first_map(weights(rows), shards, slots), 1)
     return placed(rows, slot_map).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "vslot", F.lit(1).alias("map_version"))
@@ -130,14 +179,19 @@ def assign(docs: DataFrame, shards: int = 16, slots: int = SLOTS) -> DataFrame:
 def write_shards(docs: DataFrame, slot_map: DataFrame, slots: int = SLOTS) -> str:
     """Writes the rows of docs to folders by shard under the shared folder; returns its path.
 
-    A shard is written by many tasks: rows are dealt by shard and virtual slot.
+    A shard is written by many tasks: rows are dealt by shard and virtual slot. Which of many equal
+    records lies in which shard may differ from `assign`; they are interchangeable.
     """
-    key = F.xxhash64(F.col("doc_id"), F.when(F.col("doc_id").isNull(), text_key()))
+    hot = repeats(records(docs.select("doc_id", "text"), slots), slots)
+    key = F.xxhash64("doc_id", text_key())
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (text_key() == F.col("__key"))
+    own = F.when(F.col("__key").isNotNull(), F.xxhash64(key, F.col("__n"))).otherwise(key)
     last = slot_map.agg(F.max("version")).first()[0]
     owners = slot_map.filter(F.col("version") == last).select(F.col("vslot").alias("__vslot"), "shard")
     path = new_folder(docs.sparkSession, "shards")
     (
-        docs.drop("shard").withColumn("__vslot", F.pmod(key, F.lit(slots)).cast("int"))
+        docs.drop("shard").withColumn("__n", F.monotonically_increasing_id()).join(F.broadcast(hot), same, "left")
+        .withColumn("__vslot", _slot(own, slots)).drop("__n", "__id", "__key")
         .join(F.broadcast(owners), "__vslot").repartition("shard", "__vslot").drop("__vslot")
         .write.partitionBy("shard").parquet(path)
     )

@@ -69,3 +69,19 @@ def test_versions_and_files(spark):
     want = {r.doc_id: r.shard for r in slots.placed(rows, both).collect()}
     assert {r.doc_id: r.shard for r in back.collect()} == want
     assert slots.placed(rows, both).select("shard").distinct().count() == 5
+
+
+def test_law_holds_for_repeated_ids_and_rows(spark, monkeypatch):
+    monkeypatch.setattr(slots, "PIECE_ROWS", 3)
+    several = [(7, f"{'long ' * (n % 40)}{n}") for n in range(2000)] + [(n, f"{'text ' * (n % 40)}{n}") for n in range(10, 2010)]
+    equal = [(7, "x" * 50)] * 2000 + [(None, None)] * 1000 + [(n, f"some text {n} " * 3) for n in range(10, 1010)]
+    for rows in (several, equal):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+        found = slots.assign(docs, 16).collect()
+        assert sorted((r.doc_id or -1, r.text_crc32) for r in found) == sorted(
+            (i or -1, zlib.crc32((t or "").encode())) for i, t in rows)
+        loads = check(found, 16)
+        assert max(loads) < 1.02 * sum(loads) / 16 and min(loads) > 0.98 * sum(loads) / 16
+        path = slots.write_shards(docs, slots.store_map(spark, slots.first_map([], 16), 1))
+        parts = {r.shard: r.n for r in spark.read.parquet(path).groupBy("shard").agg(F.count("*").alias("n")).collect()}
+        assert sum(parts.values()) == len(rows) and max(parts.values()) < 1.3 * len(rows) / 16
