@@ -782,6 +782,13 @@ _STATEMENTS = {
     SELECT cnpj, CASE WHEN has_state THEN 'true' ELSE '' END AS has_state,
       {txt('enrich_status', 'enrich_attempts', 'google_place_id')} FROM queue""",
     "j8_site_candidates": f"SELECT cnpj, attempt, candidate_url, candidate_source, page_id, {txt('status')} FROM landed",
+    "j8_refetched_pages": f"""
+    SELECT cnpj, attempt, candidate_url, f.page_id, {txt('f.status')} FROM tried t JOIN (
+      SELECT *, row_number() OVER (PARTITION BY url_key ORDER BY day DESC, status IS NULL,
+        CASE WHEN status BETWEEN 200 AND 299 THEN 0 ELSE 1 END, status, url DESC) AS rk FROM (
+        SELECT url_key, url, page_id, status, page_id * 7919 % 1000 AS day FROM page_keys
+        UNION ALL SELECT url_key, url, -page_id, 404, page_id * 104729 % 1000 FROM page_keys)) f
+    ON f.url_key = t.url_key AND rk = 1""",
     "j9_place_scores": "SELECT cnpj, place_id, match_score FROM place_scored",
     "j10_provider_overlay": f"SELECT cnpj, {txt('site_url', 'site_source', 'faturamento_estimado', 'faturamento_estimado_fonte', 'decisor_nome')} FROM profiled",
     "a1_status_counts": "SELECT enrich_status, count(*) AS total FROM state GROUP BY 1",
@@ -818,6 +825,19 @@ _STATEMENTS = {
       SELECT cnpj, coalesce(min(event_id) FILTER (status = 404 OR (status = 200 AND (value > 90 OR value < 1))),
         max(event_id) FILTER (status IS NOT NULL)) AS pick FROM attempts GROUP BY 1) d
     ON d.cnpj = a.cnpj AND d.pick = a.event_id""",
+    "w5_decided_sites": """
+    SELECT cnpj, coalesce(bool_or(status IS NOT NULL), false) AS answered,
+      (arg_max({'x': status}, event_id) FILTER (status IS NOT NULL)).x AS status,
+      (arg_max({'x': value}, event_id) FILTER (verdict IS NOT NULL)).x AS site_match_score,
+      coalesce(bool_or(value BETWEEN 50 AND 55), false) AS cnpj_on_site,
+      coalesce('https://site' || max(event_id) FILTER (status IS NOT NULL), '') AS candidate_url,
+      coalesce(arg_max(verdict, event_id) FILTER (verdict IS NOT NULL), '') AS site_match_status,
+      coalesce(arg_max(enrich_status, event_id) FILTER (status IS NULL OR status = 429), '') AS fetch_error
+    FROM (SELECT *, CASE WHEN status = 200 THEN CASE WHEN value < 1 THEN 'rejected_webmail'
+        WHEN value > 90 THEN 'validated' ELSE 'weak' END END AS verdict,
+      coalesce(max(CASE WHEN status = 404 OR (status = 200 AND (value < 1 OR value > 90)) THEN 1 ELSE 0 END)
+        OVER (PARTITION BY cnpj ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS over
+      FROM attempts) WHERE over = 0 GROUP BY 1""",
     "l1_outreach_legacy": f"""
     SELECT cnpj, {txt('digital_score')}, {ts('qualified_at', 'qualified_at')} FROM requalified
     ORDER BY digital_score DESC NULLS FIRST, qualified_at DESC NULLS FIRST""",

@@ -585,6 +585,26 @@ def j8_site_candidates(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def j8_refetched_pages(i: Inputs) -> DataFrame:
+    """Every URL tried per company and the latest of several fetches of its page."""
+    page = i.facts.select("url_key", "page_id", "url", "status", F.lit("").alias("content"))
+
+    def fetched(days: Column) -> Column:
+        return F.timestamp_seconds((F.col("page_id") * days) % 1000 * 86400)
+
+    log = page.withColumn("fetched_at", fetched(F.lit(7919))).unionByName(
+        page.withColumns({
+            "fetched_at": fetched(F.lit(104729)),
+            "page_id": -F.col("page_id"),
+            "status": F.lit(404).cast(page.schema["status"].dataType),
+        })
+    )
+    latest = sites.latest_fetches(log).select("url_key", "page_id", "status")
+    found = sites.join_pages(sites.site_candidates(_profiled(i)), latest)
+    return found.select("cnpj", "attempt", "candidate_url", "page_id", *filled("status"))
+
+
 @query
 def j9_place_scores(i: Inputs) -> DataFrame:
     return sites.place_scores(i.places, i.candidates).select(
@@ -743,6 +763,30 @@ def w5_best_attempts(i: Inputs) -> DataFrame:
     return sites.best_attempts(log, ["status", "value"])
 
 
+@query
+def w5_decided_sites(i: Inputs) -> DataFrame:
+    """The enrichment's own rule over the whole attempt log: site, match and error of every company."""
+    status, value = F.col("status"), F.col("value")
+    match = F.when(value < 1, "rejected_webmail").when(value > 90, "validated").otherwise("weak")
+    log = i.raw("attempts").withColumns(
+        {
+            "attempt": F.col("event_id"),
+            "candidate_url": F.concat(F.lit("https://site"), "event_id"),
+            "site_valid": (status == 200) & (value > 90),
+            "site_match_status": F.when(status == 200, match),
+            "site_match_score": value,
+            "fetch_error": F.when(status.isNull() | (status == 429), F.col("enrich_status")),
+            "cnpj_on_site": value.between(50, 55),
+        }
+    )
+    others = [c for c in enrich.ATTEMPT_FIELDS if c not in log.columns]
+    log = log.withColumns({c: F.lit(None).cast("string") for c in others})
+    return enrich.decide_sites(log).select(
+        "cnpj", "answered", "status", "site_match_score", "cnpj_on_site",
+        *filled("candidate_url", "site_match_status", "fetch_error"),
+    )
+
+
 @query
 def l1_outreach_legacy(i: Inputs) -> DataFrame:
     merged = upsert.merge_qualification(_history(i), leads.qualify(i.candidates, i.state), i.now)

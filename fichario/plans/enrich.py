@@ -31,7 +31,7 @@ _SITE_FIELDS = (
     *_MERGED, *_LANDING_ONLY,
 )
 _PAGE_FIELDS = (*_SITE_FIELDS, "fetch_error", "retry_after_days", "retry_after_hours")
-_ATTEMPT_FIELDS = (
+ATTEMPT_FIELDS = (
     *_PAGE_FIELDS, "candidate_url", "candidate_source", "site_match_score",
     "site_validation_reasons", "site_match_status", "site_valid", "cnpj_on_site",
 )
@@ -189,7 +189,7 @@ def decide_sites(attempts: DataFrame) -> DataFrame:
     made = attempts.join(stops, "cnpj").filter(
         F.col("_until").isNull() | (F.col("attempt") <= F.col("_until"))
     )
-    row = F.struct(*[c for c in attempts.columns if c in _ATTEMPT_FIELDS])
+    row = F.struct(*[c for c in attempts.columns if c in ATTEMPT_FIELDS])
 
     def last(name: str) -> Column:
         return F.max_by(row, F.when(F.col(name).isNotNull(), F.col("attempt")))
