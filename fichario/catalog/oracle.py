@@ -670,6 +670,15 @@ _STATEMENTS = {
     "s7_city_catalogue": "SELECT codigo_ibge, uf, lpad(right(codigo_ibge, 4), 4, '0') AS codigo, nome FROM population",
     "s8_population_table": "SELECT codigo_ibge, uf, right(codigo_ibge, 4) AS codigo, nome, populacao,"
     " ano_referencia FROM population WHERE codigo <> '0007'",
+    "load_population": f"""
+    SELECT codigo_ibge, uf, codigo, nome, populacao + CAST(old AS int) AS populacao,
+      {YEAR} - CAST(old AS int) AS ano_referencia,
+      CASE WHEN old THEN '{NOW}' ELSE '2025-01-01 00:00:00' END AS updated_at,
+      count(*) FILTER (populacao + CAST(old AS int) >= 100000) OVER () AS cidades,
+      count(*) FILTER (NOT old) OVER () AS merged, count(*) FILTER (codigo = '0007' AND length(codigo_ibge) = 7) OVER () AS left_out
+    FROM (SELECT *, codigo = '0007' AS old FROM population UNION ALL
+      SELECT * REPLACE ('9' || codigo_ibge AS codigo_ibge), true FROM population
+      WHERE CAST(codigo_ibge AS int) % 4 = 0)""",
     "s9_population_check": f"SELECT count(*) AS linhas, count(*) > 0 AS existe, count(*) >= 5500 AS completa"
     f" FROM population WHERE ano_referencia = {YEAR}",
     "s10_fact_upsert": f"""

@@ -21,7 +21,7 @@ from fichario.functions.text import clean_text, normalize_text
 from fichario.operators import (
     changes, contacts, filters, leads, pages, queue, reports, sites, upsert, views)
 from fichario.operators.clean import clean_rows
-from fichario.plans import enrich, ingest
+from fichario.plans import enrich, ingest, population
 from fichario.schemas import DATASETS
 from fichario.session import new_folder
 from fichario.sources import population as pop
@@ -111,8 +111,8 @@ def s5_latest_release(i: Inputs) -> DataFrame:
     return releases.latest_release(i.raw("listing"))
 
 
-def _series(i: Inputs) -> DataFrame:
-    """The city series written as JSON documents, with separators and unknown values, and read."""
+def _series_files(i: Inputs) -> str:
+    """The city series written as JSON documents, with separators and unknown values."""
     cities = i.population
     shown = F.concat((F.col("populacao") / 1000).cast("int").cast("string"), F.lit("."),
                      F.lpad((F.col("populacao") % 1000).cast("string"), 3, "0"))
@@ -124,11 +124,15 @@ def _series(i: Inputs) -> DataFrame:
     documents = cities.select(F.array(F.struct(F.array(series).alias("series"))).alias("resultados"))
     path = new_folder(i.spark, "series")
     documents.write.json(path)
-    return pop.read_series(i.spark, path, YEAR, multi_line=False)
+    return path
 
 
-def _catalogue(i: Inputs) -> DataFrame:
-    """The city catalogue written as JSON documents, half per region path, and read."""
+def _series(i: Inputs) -> DataFrame:
+    return pop.read_series(i.spark, _series_files(i), YEAR, multi_line=False)
+
+
+def _catalogue_files(i: Inputs) -> str:
+    """The city catalogue written as JSON documents, half per region path."""
     state = F.struct(F.struct(F.col("uf").alias("sigla")).alias("UF"))
     old = F.col("populacao") % 2 == 0
     path = new_folder(i.spark, "catalogue")
@@ -138,7 +142,11 @@ def _catalogue(i: Inputs) -> DataFrame:
         F.when(~old, F.struct(state.alias("regiao-intermediaria"))).alias("regiao-imediata"),
         F.when(old, F.struct(state.alias("mesorregiao"))).alias("microrregiao"),
     ).write.json(path)
-    return pop.read_catalogue(i.spark, path, multi_line=False)
+    return path
+
+
+def _catalogue(i: Inputs) -> DataFrame:
+    return pop.read_catalogue(i.spark, _catalogue_files(i), multi_line=False)
 
 
 @query
@@ -156,6 +164,25 @@ def s8_population_table(i: Inputs) -> DataFrame:
     return pop.population_table(_catalogue(i), _series(i), YEAR)
 
 
+@query
+def load_population(i: Inputs) -> DataFrame:
+    """The population load over an older table that lacks some cities and has others, then again: the second run finds
+    the year complete and reads nothing (its paths do not exist)."""
+    later = F.lit("2025-01-01 00:00:00").cast("timestamp")
+    other = F.when(F.col("codigo_ibge") % 4 == 0, "9").otherwise("")
+    stored = i.population.withColumns({
+        "codigo_ibge": F.concat(other, "codigo_ibge"), "populacao": F.col("populacao") + 1,
+        "ano_referencia": F.lit(YEAR - 1), "updated_at": i.now,
+    })
+    first = population.load_population(
+        i.spark, stored, _catalogue_files(i), _series_files(i), YEAR, later, multi_line=False
+    )
+    table = i.saved("population_loaded", lambda: first.table)
+    again = population.load_population(i.spark, table, "none", "none", YEAR, later, complete=1)
+    done = again.table.withColumn("updated_at", moment("updated_at"))
+    return done.withColumns({c: first.report.select(c).scalar() for c in first.report.columns})
+
+
 @query
 def s9_population_check(i: Inputs) -> DataFrame:
     return reports.year_count(i.population, YEAR)
