@@ -1,10 +1,18 @@
 """Benchmark decontamination by templates: numbers, names and units become typed placeholders.
 
-A text is read as words and typed slots. Five-word windows of templates are hash-joined with those of
-the benchmark items. A document holds an item if at least four fifths of the item's windows are found
-in it; then the slots are compared: every value of the item must stand for one value of the document
-throughout (the most frequent one), and only windows that agree with that count. So a question with
+A text is read as words and typed slots. A word that begins with a capital may be a name wherever it
+stands, so every five-token window has two hashes: one with the capitalised words as slots, one with
+them as words in lower case. Windows are hash-joined with those of the benchmark items by either, so
+other names are met by the first, other capitals (a copy in lower case, a new sentence start) by the
+second. A document holds an item if at least four fifths of the item's windows are found in it; then the
+slots are compared, in one occurrence of the item or in the whole document: a value of the item must
+stand for one value of the document, and only windows that agree with that count. So a question with
 other numbers or names is found, while text that only shares the frame by chance is not.
+
+Scripts without spaces are read by character. Windows with fewer than two words besides slots say too
+little to let names differ: they have the second hash only. Windows of numbers and units alone do not
+count, unless the item has no others; those, and items of fewer than five tokens, which are one
+window, must be met value by value.
 """
 
 from __future__ import annotations
@@ -17,7 +25,7 @@ from fichario.llm.common import saved, text_key
 
 WINDOW = 5
 SHARE_TENTHS = 8
-BROADCAST_WINDOWS = 1_000_000  # rows of 24 bytes; beyond that the windows are joined by shuffle
+LEAST_WORDS = 2  # of a window whose names may differ
 
 # Units that follow a number.
 UNITS = (
@@ -27,49 +35,101 @@ UNITS = (
     "usd", "eur", "dollars", "dollar", "euros", "euro", "cents", "percent", "%", "°",
 )
 END, NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002", "\ue003"  # private use, in this order
-# A capital after a lower-case letter, comma or semicolon and a space begins no sentence.
-_NAME = r"\p{Lu}(?<=[\p{Ll},;]\x20.)\p{Ll}[\p{L}\p{M}]*"
+# Scripts that write no spaces between words.
+_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
 _NUMBER = r"[0-9]+(?:[.,:/][0-9]+)*"
 _UNIT = rf"(?<=[0-9]{END})\x20?((?i:" + "|".join(UNITS) + r"))(?![\p{L}\p{M}\p{N}])"
+_NAME = rf"(?<![\p{{L}}\p{{M}}{UNIT}])\p{{Lu}}[\p{{L}}\p{{M}}]*"
+_TOKEN = (rf"[{NAME}-{UNIT}][^{END}]*{END}|[{_UNSPACED}&&[\p{{L}}\p{{M}}]]\p{{M}}*"
+          rf"|[\p{{L}}\p{{M}}&&[^{_UNSPACED}]]+")
 
 
-def tokens(text: Column, values: bool) -> Column:
-    """Words in lower case and slots in order; a slot is its type, its value if asked for, and an end
+def tokens(text: Column) -> Column:
+    """Words in lower case and slots in order; a slot is its type, its value in lower case and an end
     mark. Marks that stand in the text itself are dropped first."""
-    value = "$0" if values else ""
     plain = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{END}-{UNIT}]+", " ")
-    named = F.regexp_replace(plain, _NAME, f"{NAME}{value}{END}")
-    # the digit before the end mark is there either way: it is what a unit looks back at
-    number = NUMBER + ("$0" if values else "0") + END
-    numbered = F.regexp_replace(named, _NUMBER, number)
-    whole = F.regexp_replace(numbered, _UNIT, UNIT + ("$1" if values else "") + END)
-    return F.regexp_extract_all(
-        F.lower(whole), F.lit(f"[{NAME}-{UNIT}][^{END}]*{END}|[\\p{{L}}\\p{{M}}]+"), F.lit(0))
+    numbered = F.regexp_replace(plain, _NUMBER, f"{NUMBER}$0{END}")
+    whole = F.regexp_replace(numbered, _UNIT, f"{UNIT}$1{END}")
+    named = F.regexp_replace(whole, _NAME, f"{NAME}$0{END}")
+    return F.regexp_extract_all(F.lower(named), F.lit(_TOKEN), F.lit(0))
+
+
+def _kind(token: Column) -> Column:
+    return F.substring(token, 1, 1)
+
+
+def _is_slot(token: Column) -> Column:
+    return _kind(token).between(NAME, UNIT)
+
+
+def _value(token: Column) -> Column:
+    return F.translate(token, END + NAME + NUMBER + UNIT, "")
+
+
+def _hashes(found: str) -> dict[str, Column]:
+    """A hash per token: slots by type; names as words; everything by value."""
+    named = F.transform(found, lambda t: F.xxhash64(F.when(_is_slot(t), _kind(t)).otherwise(t)))
+    worded = F.transform(found, lambda t: F.xxhash64(
+        F.when(_kind(t).between(NUMBER, UNIT), _kind(t)).when(_kind(t) == NAME, _value(t)).otherwise(t)))
+    return {"named": named, "worded": worded, "valued": F.transform(found, lambda t: F.xxhash64(_value(t)))}
 
 
-def windows(found: Column) -> Column:
-    """Hashes of the windows of five template tokens in order; none for shorter texts."""
-    hashes = F.transform(found, lambda t: F.xxhash64(t))
-    return F.transform(
-        F.array(hashes),
-        lambda h: F.when(F.size(h) >= WINDOW, F.transform(
-            F.sequence(F.lit(0), F.size(h) - WINDOW),
-            lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(WINDOW)]))))[0]
+def _window(hashes: str, at: Column, length: int = WINDOW) -> Column:
+    # a hash of columns passes over nulls: a shorter text is hashed as it is
+    return F.xxhash64(*[F.get(hashes, at + k) for k in range(length)])
 
 
-def _slots(row: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, at, h, slots: every window of a text with the slots in it (place, value). Windows are
-    built in the row, so that an exploded row holds its own window only."""
-    both = row.select(*keys, windows(tokens(F.col("text"), False)).alias("w"), tokens(F.col("text"), True).alias("t"))
+def _item_windows(items: DataFrame) -> DataFrame:
+    """item_id, item_key, n_windows, w, h, its, place, valued, length: the windows that count (w), every
+    hash (h) by which one is met, and the slots (position, value) and place of its first occurrence."""
+    found = items.select(
+        "item_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("item_key"), tokens(F.col("text")).alias("t"))
+    hashed = found.filter(F.size("t") > 0).withColumns(_hashes("t"))
 
-    def inside(at: Column) -> Column:
-        five = F.transform(
-            F.slice("t", at + 1, WINDOW),
-            lambda t, i: F.struct(i.alias("i"), F.when(t.rlike(f"^[{NAME}-{UNIT}]"), t).alias("v")))
-        return F.filter(five, lambda s: s["v"].isNotNull())
+    def window(at: Column) -> Column:
+        five = F.slice("t", at + 1, WINDOW)
+        words = F.size(F.filter(five, lambda t: ~_is_slot(t)))
+        names = F.size(F.filter(five, lambda t: _kind(t) == NAME))
+        valued = (F.size("t") < WINDOW) | (words + names == 0)
+        by = F.when(valued, F.array(_window("valued", at))).when(
+            words >= LEAST_WORDS, F.array(_window("named", at), _window("worded", at))).otherwise(
+            F.array(_window("worded", at)))
+        slots = F.transform(five, lambda t, i: F.struct(i.alias("i"), F.when(_is_slot(t), _value(t)).alias("v")))
+        return F.struct(at.alias("at"), valued.alias("valued"), by.alias("by"),
+                        F.filter(slots, lambda x: x["v"].isNotNull()).alias("its"))
 
-    return both.select(*keys, F.inline(F.transform(
-        "w", lambda h, at: F.struct(at.alias("at"), h.alias("h"), inside(at).alias("slots")))))
+    each = F.transform(F.sequence(F.lit(0), F.greatest(F.size("t") - WINDOW, F.lit(0))), window)
+    spoken = F.filter("each", lambda x: ~x["valued"])
+    chosen = hashed.select("item_id", "item_key", F.least(F.size("t"), F.lit(WINDOW)).alias("length"), each.alias("each"))
+    chosen = chosen.withColumn("each", F.when(F.size(spoken) > 0, spoken).otherwise(F.col("each")))
+    n = F.size(F.array_distinct(F.transform("each", lambda x: F.get(x["by"], F.lit(0)))))
+    rows = chosen.select("item_id", "item_key", "length", n.alias("n_windows"), F.inline("each")).select(
+        "*", F.get("by", F.lit(0)).alias("w"), F.explode(F.array_distinct("by")).alias("h"))
+    return rows.groupBy("item_id", "item_key", "n_windows", "w", "h", "valued", "length").agg(
+        F.min_by("its", "at").alias("its"), F.min("at").alias("place"))
+
+
+def _text_windows(lengths: list[int], values: bool) -> tuple[Column, dict[str, Column]]:
+    """Windows of the tokens t, by slots and by words, and by value in the given lengths; and the columns
+    that they are built from. With values, structs of place, hash and the values from there on;
+    without, distinct hashes."""
+    made = _hashes("t")
+    if not lengths:
+        del made["valued"]
+    wanted = [("named", WINDOW), ("worded", WINDOW), *[("valued", n) for n in lengths]]
+
+    def one(hashes: str, n: int) -> Column:
+        def window(i: Column) -> Column:
+            h = _window(hashes, i, n)
+            return F.struct(i.alias("at"), h.alias("h"), F.slice("v", i + 1, n).alias("five")) if values else h
+
+        return F.coalesce(F.when(F.size("t") >= n, F.transform(
+            F.sequence(F.lit(0), F.size("t") - n), window)), F.array())
+
+    every = F.concat(*[one(h, n) for h, n in wanted])
+    if values:
+        return F.inline(every), made | {"v": F.transform("t", _value)}
+    return F.explode(F.array_distinct(every)).alias("h"), made
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -77,45 +137,41 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     n_windows: distinct windows of the item; n_found: those the document has with consistent slots;
     n_slots: distinct slot values of the item met; n_changed: those that have another value in the
-    document. Null and empty texts, and items of fewer than five words, have no windows and leak
-    nothing. Rows that repeat both id and text give one row per item; equal ids with different texts
-    are told apart by text_key. Whole texts are read; only document keys and hashes of windows that
-    the benchmark has are shuffled, and texts only of the documents that share four fifths of an
-    item's windows.
+    document. Null and empty texts, and those without letters and digits, have no tokens and leak
+    nothing; an item of one to four tokens leaks wherever these stand one behind the other. Rows that
+    repeat both id and text give one row per item; equal ids with different texts are told apart by
+    text_key. Whole texts are read; only document keys and hashes of windows that the benchmark has
+    are shuffled, and texts only of the documents that share four fifths of an item's windows.
     """
     items = benchmark.select("item_id", "text").distinct()
-    theirs = saved(
-        items.select("item_id", "text", F.array_distinct(windows(tokens(F.col("text"), False))).alias("w"))
-        .select("item_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("item_key"),
-                F.size("w").alias("n_windows"), F.explode("w").alias("h")), "benchmark-windows")
-    small = theirs.count() <= BROADCAST_WINDOWS
+    theirs = saved(_item_windows(items), "benchmark-windows")
+    # at most five numbers: the lengths in which values are compared
+    lengths = sorted(r[0] for r in theirs.filter("valued").select("length").distinct().collect())
     keyed = docs.select("doc_id", text_key().alias("text_key"), "text")
-    ours = keyed.select(
-        "doc_id", "text_key", F.explode(F.array_distinct(windows(tokens(F.col("text"), False)))).alias("h"))
+
+    def exploded(rows: DataFrame, values: bool) -> DataFrame:
+        column, made = _text_windows(lengths, values)
+        found = rows.select("doc_id", "text_key", tokens(F.col("text")).alias("t"))
+        return found.withColumns(made).select("doc_id", "text_key", column)
+
     pair = ["doc_id", "text_key", "item_id", "item_key"]
-    hits = ours.join(F.broadcast(theirs) if small else theirs, "h")
-    # A row that repeats adds the same windows again: they are counted by their hash.
+    hits = exploded(keyed, False).join(theirs.select("item_id", "item_key", "n_windows", "w", "h"), "h")
+    # A row that repeats adds the same windows again: they are counted by their name.
     near = saved(
-        hits.groupBy(*pair, "n_windows", "h").agg(F.lit(1).alias("one"))
+        hits.groupBy(*pair, "n_windows", "w").agg(F.lit(1).alias("one"))
         .groupBy(*pair, "n_windows").agg(F.count("*").alias("n"))
         .filter(F.col("n") * 10 >= F.col("n_windows") * SHARE_TENTHS).drop("n"), "near-items")
 
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key"))
     wanted = near.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key"))
     # rows that repeat bring the same windows again, which changes no share and no majority
-    mine = _slots(keyed.join(wanted, same, "left_semi"), ["doc_id", "text_key"])
-    its = items.withColumn("item_key", F.xxhash64(F.coalesce("text", F.lit("")))).join(
-        near.select("item_key").distinct(), "item_key", "left_semi")
-    its = _slots(its, ["item_id", "item_key"]).groupBy("item_id", "item_key", "h").agg(
-        F.min_by("slots", "at").alias("its"), F.min("at").alias("place"))
-    named = near.withColumnsRenamed({"doc_id": "__id", "text_key": "__key"}).join(
-        its, (near["item_key"] == its["item_key"]) & near["item_id"].eqNullSafe(its["item_id"])).select(
-        "__id", "__key", near["item_id"], near["item_key"], "n_windows", "h", "its", "place")
+    mine = exploded(keyed.join(wanted, same, "left_semi"), True).join(theirs, "h")
+    pairs = near.select(*[F.col(c).alias(f"__{c}") for c in pair])
+    this = F.expr("doc_id <=> __doc_id and text_key = __text_key and item_id <=> __item_id and item_key = __item_key")
+    against = F.transform("its", lambda x: F.struct(x["v"].alias("b"), F.get("five", x["i"]).alias("d")))
     met = saved(
-        mine.join(named, same & (mine["h"] == named["h"])).select(
-            "doc_id", "text_key", "item_id", "item_key", "n_windows", (F.col("at") - F.col("place")).alias("shift"), mine["h"],
-            F.zip_with("its", "slots", lambda b, d: F.struct(b["v"].alias("b"), d["v"].alias("d"))).alias("s"))
-        .distinct(), "met-windows")
+        mine.select(*pair, "n_windows", (F.col("at") - F.col("place")).alias("shift"), "w", against.alias("s"))
+        .join(pairs, this, "left_semi").distinct(), "met-windows")
 
     one = [*pair, "kind", "nth"]
     parts = saved(_occurrences(met, pair), "occurrences")
@@ -131,7 +187,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                       "l.item_key = r.item_key and l.kind = r.kind and l.nth = r.nth"), "left")
     agree = agree.filter(F.forall("l.s", lambda x: F.try_element_at("r.m", x["b"]) == x["d"]))
     held = agree.groupBy(*[f"l.{c}" for c in one], "l.n_windows").agg(
-        F.countDistinct("l.h").alias("n_found"), F.coalesce(F.max("r.n_slots"), F.lit(0)).alias("n_slots"),
+        F.countDistinct("l.w").alias("n_found"), F.coalesce(F.max("r.n_slots"), F.lit(0)).alias("n_slots"),
         F.coalesce(F.max("r.n_changed"), F.lit(0)).alias("n_changed"))
     best = F.max(F.struct("n_found", (-F.col("n_changed")).alias("kept"), "n_slots", "n_changed"))
     return (
@@ -151,11 +207,12 @@ def _occurrences(met: DataFrame, pair: list[str]) -> DataFrame:
     numbered = met.withColumn("new", new).withColumn("run", F.sum("new").over(rows))
     groups = [(0, F.lit(0)), (1, F.col("shift")), (2, F.col("run"))]
     each = F.array(*[F.struct(F.lit(k).alias("kind"), n.cast("long").alias("nth")) for k, n in groups])
-    return numbered.select(*pair, "n_windows", "h", "s", F.inline(each))
+    return numbered.select(*pair, "n_windows", "w", "s", F.inline(each))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs that leak no item, with their columns."""
+    """The rows of docs that leak no item, with their columns. Null and empty texts stay; rows that
+    repeat stay or go together."""
     found = saved(leaks(docs.select("doc_id", "text"), benchmark).select(
         F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct(), "leaking")
     return docs.join(

@@ -23,11 +23,40 @@ def test_slots_are_typed_and_aligned(spark):
 
     text = "Ana said, Bob ran 3.5 km and 20kg, about 7 %. The Cat x"
     frame = spark.createDataFrame([(text,)], "text string")
-    plain, full = frame.select(d.tokens(F.col("text"), False), d.tokens(F.col("text"), True)).first()
-    assert len(plain) == len(full)
+    found = frame.select(d.tokens(F.col("text"))).first()[0]
     marks = {d.NAME: "N", d.NUMBER: "#", d.UNIT: "U"}
-    shown = [marks[t[0]] + t[1:-1] if t[0] in marks else t for t in full]
-    assert shown == ["ana", "said", "Nbob", "ran", "#3.5", "Ukm", "and", "#20", "Ukg", "about", "#7", "U%", "the", "Ncat", "x"]
+    shown = [marks[t[0]] + t[1:-1] if t[0] in marks else t for t in found]
+    assert shown == ["Nana", "said", "Nbob", "ran", "#3.5", "Ukm", "and", "#20", "Ukg", "about", "#7", "U%", "Nthe", "Ncat", "x"]
+
+
+ALICE = "Alice has 5 apples. Bob gives her 3 more. How many apples does Alice have now?"
+
+
+def test_names_are_slots_wherever_they_stand(spark):
+    carol = ALICE.replace("Alice", "Carol").replace("Bob", "David")
+    texts = [(1, ALICE, 0), (2, carol, 0), (3, carol.replace("5", "8").replace(". ", ".\n"), 0), (4, ALICE.lower(), 0),
+             (5, ALICE.upper(), 0), (6, 'He read: "' + carol + '" And then', 0), (7, "Mr. " + carol, 0),
+             (8, ALICE.replace("How many", "how many").replace("Bob", "Émile"), 0),
+             (9, "Carol has 5 apples. David gives her 3 more. How many apples does Erin have now?", 0),  # 11 of 12 agree
+             (10, "Alice has two brothers. Bob gives her a book. How many books does Alice read?", 0)]
+    found = {r[0]: r[2] for r in pairs(spark, texts, [(7, ALICE)])}
+    assert found == {1: 0, 2: 2, 3: 3, 4: 0, 5: 0, 6: 2, 7: 2, 8: 1, 9: 2}
+    item = "then Ann asked whether Ann could lend Ann her pen and Ann said that Ann had none"
+    other = "then Eve asked whether Kim could lend Joe her pen and Lea said that Max had none"
+    assert [r[0] for r in pairs(spark, [(1, other, 0), (2, item.replace("Ann", "Zoe"), 0)], [(7, item)])] == [2]
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    chinese = "小明有5个苹果,小红又给了他3个,请问小明现在一共有多少个苹果?"
+    items = [(1, "Name seven primes"), (2, chinese), (3, "2 + 2 = 4"), (4, "3, 5, 7, 9, 11, 13"), (5, "?!"),
+             (6, "Paris London Rome Berlin Madrid Lisbon")]
+    texts = [(1, "please name SEVEN primes, all of them", 0), (2, "题目:" + chinese + "答案是八。", 0),
+             (3, chinese.replace("5", "9"), 0), (4, "so 2 + 2 = 4 holds", 0), (5, "so 2 + 2 = 5 does not", 0),
+             (6, "first 3, 5, 7, 9, 11, 13 and so on", 0), (7, "first 4, 6, 8, 10, 12, 14 and so on", 0),
+             (8, "Name eight primes", 0), (9, "小红有许多苹果", 0), (10, "?!", 0),
+             (11, "Oslo Bergen Tromso Bodo Molde Narvik", 0), (12, "paris london rome berlin madrid lisbon", 0)]
+    found = {r[:2] for r in pairs(spark, texts, items)}
+    assert found == {(1, 1), (2, 2), (3, 2), (4, 3), (6, 4), (12, 6)}
 
 
 def test_reparameterised_questions_are_found(spark):
@@ -60,7 +89,7 @@ def test_versions_side_by_side_do_not_mix(spark):
 def test_odd_rows(spark):
     texts = [(1, None, 0), (2, "", 0), (None, QUESTION, 0), (3, QUESTION, 0), (3, QUESTION, 0), (3, "else", 0),
              (4, " " * 10 + QUESTION, 0), (5, "word " * 30_000 + QUESTION, 0)]
-    items = [(7, QUESTION), (7, QUESTION), (8, "too short"), (None, QUESTION), (9, None)]
+    items = [(7, QUESTION), (7, QUESTION), (8, "too short"), (8, "..."), (None, QUESTION), (9, None)]
     found = pairs(spark, texts, items)
     assert found == sorted([(i, n, 0) for i in (None, 3, 4, 5) for n in (7, None)], key=str)
     assert pairs(spark, texts, []) == [] and pairs(spark, [], items) == []
@@ -70,9 +99,17 @@ def test_odd_rows(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3"]
 
 
-@pytest.mark.parametrize("limit", [d.BROADCAST_WINDOWS, 0])
-def test_whole_query_against_brute_force(spark, monkeypatch, limit):
-    monkeypatch.setattr(d, "BROADCAST_WINDOWS", limit)
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_whole_query_against_brute_force(spark, limit):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        against_brute_force(spark)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def against_brute_force(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
     bench = spark.read.parquet(f"{folder}/benchmark.parquet").collect()
