@@ -35,13 +35,15 @@ UNITS = (
     "usd", "eur", "dollars", "dollar", "euros", "euro", "cents", "percent", "%", "°",
 )
 END, NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002", "\ue003"  # private use, in this order
-# Scripts that write no spaces between words.
-_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+# Blocks of scripts that write no spaces between words (Thai, Lao, Myanmar, Khmer,
+# kana, Han). Ranges, as classes of scripts cost a search per letter.
+_UNSPACED = (r"฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿"
+             r"\x{20000}-\x{3FFFF}")
 _NUMBER = r"[0-9]+(?:[.,:/][0-9]+)*"
 _UNIT = rf"(?<=[0-9]{END})\x20?((?i:" + "|".join(UNITS) + r"))(?![\p{L}\p{M}\p{N}])"
 _NAME = rf"(?<![\p{{L}}\p{{M}}{UNIT}])\p{{Lu}}[\p{{L}}\p{{M}}]*"
-_TOKEN = (rf"[{NAME}-{UNIT}][^{END}]*{END}|[{_UNSPACED}&&[\p{{L}}\p{{M}}]]\p{{M}}*"
-          rf"|[\p{{L}}\p{{M}}&&[^{_UNSPACED}]]+")
+_TOKEN = (rf"[\p{{L}}\p{{M}}&&[^{_UNSPACED}]]++|[{NAME}-{UNIT}][^{END}]*+{END}"
+          rf"|[{_UNSPACED}&&[\p{{L}}\p{{M}}]]\p{{M}}*+")
 
 
 def tokens(text: Column) -> Column:
@@ -58,8 +60,9 @@ def _kind(token: Column) -> Column:
     return F.substring(token, 1, 1)
 
 
-def _is_slot(token: Column) -> Column:
-    return _kind(token).between(NAME, UNIT)
+def _is_slot(token: Column, kind: str = NAME) -> Column:
+    """Whether a token is a slot of this type or one behind it: strings compare by their first mark."""
+    return (token >= kind) & (token < chr(ord(UNIT) + 1))
 
 
 def _value(token: Column) -> Column:
@@ -70,7 +73,7 @@ def _hashes(found: str) -> dict[str, Column]:
     """A hash per token: slots by type; names as words; everything by value."""
     named = F.transform(found, lambda t: F.xxhash64(F.when(_is_slot(t), _kind(t)).otherwise(t)))
     worded = F.transform(found, lambda t: F.xxhash64(
-        F.when(_kind(t).between(NUMBER, UNIT), _kind(t)).when(_kind(t) == NAME, _value(t)).otherwise(t)))
+        F.when(~_is_slot(t), t).when(_is_slot(t, NUMBER), _kind(t)).otherwise(_value(t))))
     return {"named": named, "worded": worded, "valued": F.transform(found, lambda t: F.xxhash64(_value(t)))}
 
 
@@ -103,8 +106,8 @@ def _item_windows(items: DataFrame) -> DataFrame:
     chosen = hashed.select("item_id", "item_key", F.least(F.size("t"), F.lit(WINDOW)).alias("length"), each.alias("each"))
     chosen = chosen.withColumn("each", F.when(F.size(spoken) > 0, spoken).otherwise(F.col("each")))
     n = F.size(F.array_distinct(F.transform("each", lambda x: F.get(x["by"], F.lit(0)))))
-    rows = chosen.select("item_id", "item_key", "length", n.alias("n_windows"), F.inline("each")).select(
-        "*", F.get("by", F.lit(0)).alias("w"), F.explode(F.array_distinct("by")).alias("h"))
+    rows = chosen.select("item_id", "item_key", "length", n.alias("n_windows"), F.inline_outer("each")).select(
+        "*", F.get("by", F.lit(0)).alias("w"), F.explode_outer(F.array_distinct("by")).alias("h"))
     return rows.groupBy("item_id", "item_key", "n_windows", "w", "h", "valued", "length").agg(
         F.min_by("its", "at").alias("its"), F.min("at").alias("place"))
 
@@ -112,7 +115,9 @@ def _item_windows(items: DataFrame) -> DataFrame:
 def _text_windows(lengths: list[int], values: bool) -> tuple[Column, dict[str, Column]]:
     """Windows of the tokens t, by slots and by words, and by value in the given lengths; and the columns
     that they are built from. With values, structs of place, hash and the values from there on;
-    without, distinct hashes."""
+    without, distinct hashes. A text without windows gives a null hash, which joins nothing: outer
+    generators, as Spark would else filter by the size of what they take, and work it out anew for
+    every window."""
     made = _hashes("t")
     if not lengths:
         del made["valued"]
@@ -128,8 +133,8 @@ def _text_windows(lengths: list[int], values: bool) -> tuple[Column, dict[str, C
 
     every = F.concat(*[one(h, n) for h, n in wanted])
     if values:
-        return F.inline(every), made | {"v": F.transform("t", _value)}
-    return F.explode(F.array_distinct(every)).alias("h"), made
+        return F.inline_outer(every), made | {"v": F.transform("t", _value)}
+    return F.explode_outer(F.array_distinct(every)).alias("h"), made
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
