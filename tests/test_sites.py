@@ -199,6 +199,15 @@ def test_a_url_fetched_often_counts_once(spark):
     assert enrich.decide_sites(enrich.match_sites(company(spark), undated)).first().status == 200
 
 
+@pytest.mark.parametrize("order", ["page_id", "-page_id"])
+def test_fetches_alike_in_all_else_go_by_number(spark, order):
+    """Two fetches of a URL at one moment with one answer: the same one counts however the rows come."""
+    rows = [(f"k{k}", sign * (k + 1), f"https://k{k}/", 404, "") for k in range(50) for sign in (1, -1)]
+    log = spark.createDataFrame(rows, "url_key string, page_id long, url string, status int, content string")
+    log = log.withColumn("fetched_at", F.timestamp_seconds(F.lit(0))).orderBy(F.expr(order))
+    assert sorted(r.page_id for r in sites.latest_fetches(log).collect()) == list(range(-50, 0))
+
+
 def test_any_number_of_attempts_counts(spark):
     rows = [("1", n, 500, False, None, f"http_{n}", False) for n in range(7)] + [("1", 7, 200, True, "validated", None, True)]
     rows += [("1", 8, 404, False, None, "http_404", False)]
