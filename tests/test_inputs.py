@@ -7,7 +7,7 @@ import pytest
 from fichario.catalog import inputs
 from fichario.catalog.inputs import Inputs
 from fichario.catalog.queries import QUERIES
-from fichario.operators import by_root
+from fichario.operators import by_root, sites
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -37,3 +37,12 @@ def test_one_time_use_stores_nothing_by_root(spark, small_parts, monkeypatch, na
 
     monkeypatch.setattr(by_root, "store", store)
     assert QUERIES[name](spark, FOLDER).count() > 0
+
+
+def test_a_companys_names_are_prepared_before_they_meet_its_places(spark):
+    """Patterns over the company's columns stand below the join, once per company and not per place."""
+    i = Inputs(spark, FOLDER)
+    scored = sites.place_scores(i.places, i.candidates)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Join Inner")]
+    assert "razao_social" not in above and "municipio_descricao" not in above and "display_name" in above
