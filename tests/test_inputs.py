@@ -46,3 +46,9 @@ def test_a_companys_names_are_prepared_before_they_meet_its_places(spark):
     plan = scored._jdf.queryExecution().optimizedPlan().toString()
     above = plan[: plan.index("Join Inner")]
     assert "razao_social" not in above and "municipio_descricao" not in above and "display_name" in above
+
+
+def test_messages_of_an_audit_are_not_broadcast(spark):
+    """Few bytes on disk may be many messages: no task may hold those of all files."""
+    plan = QUERIES["s17_load_audit"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
