@@ -52,3 +52,26 @@ def test_messages_of_an_audit_are_not_broadcast(spark):
     """Few bytes on disk may be many messages: no task may hold those of all files."""
     plan = QUERIES["s17_load_audit"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_filters_work_above_the_move_and_not_in_the_few_reading_tasks(spark):
+    """A row group cannot be cut, so all rows of a file may be read by one task, whatever the number of parts."""
+    wide = Inputs(spark, FOLDER).registry["estabelecimentos"].filter("situacao_cadastral = '02'").select("cnpj")
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan[: plan.index("RepartitionByExpression")], plan[plan.index("RepartitionByExpression"):]
+    assert "= 02" in above and "= 02" not in below
+    assert "o_comment" not in below  # columns that nobody asks for are not moved
+
+
+def test_a_table_read_in_many_parts_is_moved_all_the_same(spark, monkeypatch):
+    """Parts of a file without a row group of their own are empty: their number does not show where rows lie."""
+    monkeypatch.setattr(inputs, "PART_BYTES", 1 << 40)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        i = Inputs(spark, FOLDER)
+        assert i.table("orders").rdd.getNumPartitions() >= i.parts("orders")
+        held = [len(part) for part in i.spread_table("orders").select("o_orderkey").rdd.glom().collect()]
+        assert sum(n > 0 for n in held) > spark.sparkContext.defaultParallelism // 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
