@@ -75,3 +75,10 @@ def test_a_table_read_in_many_parts_is_moved_all_the_same(spark, monkeypatch):
         assert sum(n > 0 for n in held) > spark.sparkContext.defaultParallelism // 2
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_profiles_are_saved_without_columns_that_no_site_is_matched_by(spark):
+    from fichario.catalog import queries
+
+    saved = queries._profiled(Inputs(spark, FOLDER)).columns
+    assert "domain_shared_count" in saved and not {"logradouro", "capital_social", "email_papel"} & set(saved)
