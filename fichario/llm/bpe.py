@@ -16,7 +16,7 @@ import heapq
 import json
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -30,6 +30,7 @@ BLOCK_BYTES = 1_024
 WINDOW_CHARS = 65_536
 CACHED_WORDS = 150_000
 CACHED_CHARS = 64
+SHORT_BYTES = 48
 
 # Fixed value: the pattern that byte-level BPE cuts text with before merging.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -106,7 +107,31 @@ class Transducer:
 
 
 def merge(vocabulary: Vocabulary, data: bytes) -> list[int]:
-    """Token ids of bytes: best rule first, leftmost first, by a heap over a linked list."""
+    """Token ids of bytes: best rule first, leftmost first. Most pieces are a few bytes long, for which
+    looking through all pairs is cheaper than a heap."""
+    return (_merge_short if len(data) <= SHORT_BYTES else _merge_long)(vocabulary, data)
+
+
+def _merge_short(vocabulary: Vocabulary, data: bytes) -> list[int]:
+    """By the least of all rules that fit, again and again: quadratic."""
+    find, merges = vocabulary.rank.get, vocabulary.merges
+    none = len(merges)
+    ids = list(map(vocabulary.of_byte.__getitem__, data))
+    ranks = list(map(find, zip(ids, ids[1:]), repeat(none)))
+    while ranks and (rank := min(ranks)) < none:
+        at = ranks.index(rank)
+        merged = merges[rank][2]
+        ids[at] = merged
+        del ids[at + 1], ranks[at]
+        if at:
+            ranks[at - 1] = find((ids[at - 1], merged), none)
+        if at < len(ranks):
+            ranks[at] = find((merged, ids[at + 1]), none)
+    return ids
+
+
+def _merge_long(vocabulary: Vocabulary, data: bytes) -> list[int]:
+    """By a heap over a linked list."""
     of_byte, find, merges = vocabulary.of_byte, vocabulary.rank.get, vocabulary.merges
     ids = [of_byte[b] for b in data]
     count = len(ids)
@@ -165,12 +190,16 @@ class Encoder:
         self.special = regex.compile("|".join(map(regex.escape, names))) if names else None
 
     def _piece(self, piece: str) -> tuple[int, ...]:
-        transducer = Transducer(self.v)
         data = piece.encode()
+        if len(data) <= BLOCK_BYTES:  # a transducer would keep it all to the end
+            return tuple(merge(self.v, data))
+        transducer = Transducer(self.v)
         return (*transducer.push(data), *transducer.finish())
 
     def _word(self, word: str) -> tuple[int, ...] | None:
         """Ids of a space and this; None if white space at its end joins what follows."""
+        if word.isalpha():  # letters alone are one piece
+            return self.piece[" " + word]
         if not word or word[-1].isspace():
             return None
         return tuple(chain.from_iterable(map(self.piece.__getitem__, self.cut.findall(" " + word))))
@@ -188,11 +217,11 @@ class Encoder:
                 end = space
             first, *rest = text[at:end].split(" ")
             found = list(map(self.word.__getitem__, rest))
-            if None in found:
-                yield from map(self.piece.__getitem__, self.cut.findall(text, at, end))
+            if not all(found):
+                found = map(self.piece.__getitem__, self.cut.findall(text, at, end))
             else:
                 yield from map(self.piece.__getitem__, self.cut.findall(first))
-                yield from found
+            yield tuple(chain.from_iterable(found))
             at = end
 
     def _window(self, text: str, at: int, end: int, stop: int):

@@ -95,3 +95,18 @@ def test_nulls_repeats_clashing_columns_and_round_trip(spark):
     back = [r.text for r in bpe.detokenize(tokens, PATH).collect()]
     assert sorted(back) == sorted(t or "" for _, t, _ in rows)
     assert bpe.tokenize(docs.limit(0), PATH).count() == 0
+
+
+def test_short_pieces_are_merged_without_a_heap_and_like_long_ones(encode, monkeypatch):
+    random.seed(6)
+    made = [bytes(random.choices(b"aeinrst ", k=n)) for n in range(1, bpe.SHORT_BYTES + 1) for _ in range(20)]
+    made += [random.randbytes(n) for n in range(bpe.SHORT_BYTES + 1)]
+    long = [bpe._merge_long(encode.v, data) for data in made]
+    monkeypatch.setattr(bpe.heapq, "heapify", None)
+    assert [bpe.merge(encode.v, data) for data in made] == long
+
+
+def test_letters_of_python_are_letters_of_the_pattern(encode):
+    """A word of letters alone is taken for one piece without a search."""
+    letters = "".join(filter(str.isalpha, map(chr, range(0x110000))))
+    assert encode.cut.findall(" " + letters) == [" " + letters]
