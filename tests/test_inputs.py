@@ -82,3 +82,41 @@ def test_profiles_are_saved_without_columns_that_no_site_is_matched_by(spark):
 
     saved = queries._profiled(Inputs(spark, FOLDER)).columns
     assert "domain_shared_count" in saved and not {"logradouro", "capital_social", "email_papel"} & set(saved)
+
+
+def _plan(rows, kind="executedPlan"):
+    return getattr(rows._jdf.queryExecution(), kind)().toString()
+
+
+def test_stored_state_is_not_moved_again_to_meet_its_candidates(spark):
+    """Few narrow columns of it are dealt by its key; the wide rows then lie where the joins want them."""
+    i = Inputs(spark, FOLDER)
+    i.candidates
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(QUERIES["l1_outreach_legacy"](spark, FOLDER))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("SortMergeJoin") == 2
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(cnpj" in line]
+    assert sum("ENSURE_REQUIREMENTS" in line for line in moved) == 1  # the candidates alone
+
+
+@pytest.mark.parametrize("name", ["l1_outreach_legacy", "l2_outreach", "l6_qualified_list"])
+def test_rows_of_a_total_sort_are_made_once(spark, name):
+    plan = _plan(QUERIES[name](spark, FOLDER))
+    below = plan[plan.index("Exchange rangepartitioning"):]
+    assert "REPARTITION_BY_COL" in below[:below.index("Join")]
+
+
+@pytest.mark.parametrize("name", ["w1_decision_makers", "w2_last_row_wins"])
+def test_no_column_is_read_for_the_deal_alone(spark, name):
+    assert "l_orderkey" not in _plan(QUERIES[name](spark, FOLDER))
+
+
+def test_filters_by_a_made_status_hold_no_copy_of_its_rules(spark):
+    plan = _plan(QUERIES["l6_qualified_list"](spark, FOLDER), "optimizedPlan")
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert any("= qualified" in line for line in filters)
+    assert not any("= qualified" in line and "rejected_webmail" in line for line in filters)
