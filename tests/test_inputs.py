@@ -120,3 +120,33 @@ def test_filters_by_a_made_status_hold_no_copy_of_its_rules(spark):
     filters = [line for line in plan.splitlines() if "Filter" in line]
     assert any("= qualified" in line for line in filters)
     assert not any("= qualified" in line and "rejected_webmail" in line for line in filters)
+
+
+def test_an_enrichment_moves_no_wide_row_to_its_partners_domains_and_places(spark):
+    """Only keys, and what is found by them, are moved; partners are read once and grouped where they are dealt."""
+    from fichario.plans import enrich
+
+    i = Inputs(spark, FOLDER)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "23"}
+    old = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        profiled = enrich.profile(
+            i.candidates_by_branch, i.partners_by_root, i.providers, i.places, now=i.now, lay=i.lay)
+        lines = _plan(profiled).splitlines()
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+    scans = [line for line in lines if "FileScan" in line]
+    assert sum("l_partkey" in line for line in scans) == 1
+    wide = next(n for n, line in enumerate(lines) if "FileScan" in line and "capital_social" in line)
+    assert "Bucketed: true" in lines[wide]
+    depth = lines[wide].index("FileScan")
+    for line in reversed(lines[:wide]):  # up the branch of the plan that reads the wide rows
+        at = next(k for k, c in enumerate(line) if c.isalpha())
+        if at < depth:
+            depth = at
+            assert not line[at:].startswith("Exchange"), line[:200]
+    grouped = [line for line in lines if "Exchange hashpartitioning(cnpj#" in line and "ENSURE_REQUIREMENTS" in line]
+    assert len(grouped) == 1  # the best place of each company, after the Python that compares names
