@@ -150,3 +150,38 @@ def test_an_enrichment_moves_no_wide_row_to_its_partners_domains_and_places(spar
             assert not line[at:].startswith("Exchange"), line[:200]
     grouped = [line for line in lines if "Exchange hashpartitioning(cnpj#" in line and "ENSURE_REQUIREMENTS" in line]
     assert len(grouped) == 1  # the best place of each company, after the Python that compares names
+
+
+def test_partners_of_a_release_move_once_and_are_hashed_where_they_meet_their_root(spark):
+    """No row counts or salts where no root is hot, no hash of a row is moved, and ids need no move of their own."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(QUERIES["ingest_release"](spark, FOLDER))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("l_partkey") and "_salt" not in plan
+    partners = plan[plan.index("Window [row_number() windowspecdefinition(cnpj_basico#", plan.index("id#") - 200):]
+    assert "Exchange hashpartitioning(id#" not in plan
+    assert "sha2(" in partners[: partners.index("SortMergeJoin")]
+    joined = partners[partners.index("SortMergeJoin"):]
+    assert "sha2(" not in joined
+
+
+def test_a_hot_root_is_followed_with_the_same_rows(spark):
+    """Hot roots known: spread as before; none: plain; either way the rows of unclean roots are cleaned and kept."""
+    from pyspark.sql import functions as F
+
+    from fichario.operators.filters import BranchFilter
+    from fichario.plans import ingest
+
+    i = Inputs(spark, FOLDER)
+    raw = i.raw("raw_socios").limit(500).withColumn("cnpj_basico", F.concat(F.lit("  "), "cnpj_basico", F.lit(" ")))
+    raw = raw.unionByName(raw).withColumn("file_name", F.lit("Socios.zip"))  # every id twice
+    branches = i.raw("raw_socios").limit(300).select("cnpj_basico")
+    found = []
+    for hot in (None, [], ["00000001"]):
+        table = ingest.load_dataset("Socios", raw, None, "2026-07", i.now, BranchFilter(), branches=branches, hot_roots=hot).table
+        found.append(sorted(map(tuple, table.select("cnpj_basico", "id", "nome_socio_razao_social").collect())))
+    assert found[0] and found[0] == found[1] == found[2]
+    assert len({row[1] for row in found[0]}) == len(found[0]) and all(row[0] == row[0].strip() for row in found[0])
