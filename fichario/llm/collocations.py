@@ -1,19 +1,21 @@
 """Collocations: phrases of two or three words that stand together more often than their parts.
 
-Level by level, as Apriori allows: a phrase can be frequent only if its parts are.
-
-1. One pass over the texts counts words and gives the support of word pairs, clipped per task at the
-   smallest count that matters: enough to know the pairs that reach it, the candidates of level two.
-2. Tries of these pairs find all their places; a third word behind one gives a candidate of level three,
-   again by clipped support.
-3. Tries of all candidates count them exactly.
-
-A trie is a double array over word numbers (two digits of RADIX each; a word is two steps). It is
-broadcast, and numpy moves the states of all positions of a batch at once: the state of every position
-by its first word, those still alive by the second word, then by the third. Accepting states are counted
-by bincount, a task gives its counts once, and the counts of tasks and tries are summed. Candidates are
-dealt to tries by a hash, so that a trie never holds more than about SHARD_PHRASES phrases of SHARD_BYTES
-bytes whatever the corpus; a larger corpus takes more tries, not larger ones.
+Level by level, as Apriori allows: a phrase can be frequent only if its words are.
+
+1. One pass over the texts counts words. Those that reach the smallest count that matters get numbers.
+2. A second pass writes texts in these numbers and counts the phrases of two and three numbered words run by
+   run; a phrase is one 64-bit key. The counts are dealt by a hash of the key into blocks of about BLOCK_ROWS
+   rows, packed, and a block is summed by sorting: the counts are exact, and those that reach the smallest
+   count are the candidates of both levels.
+
+So the texts are read twice whatever the corpus, and every phrase moves once per run; a hot word or pair is one
+row per run, in no block more than another. The numbered words are broadcast: at most about MOST_WORDS of
+MOST_BYTES bytes, the most frequent ones. Where a corpus has more, phrases with one of the others are counted
+in a third pass and moved as text.
+
+`Trie` holds a list of phrases as a double array over word numbers (two digits of RADIX each; a word is two
+steps); numpy moves the states of all positions of a batch at once. It finds given phrases in texts; counting
+needs none, since a list that grows with the corpus would take ever more passes over it.
 """
 
 from __future__ import annotations
@@ -33,12 +35,13 @@ from fichario.llm.common import arrow_batches, saved
 MIN_COUNT = 10
 TOP = 2_000
 HOLD = 50  # percent of a phrase's places that lie inside a longer candidate
-SHARD_PHRASES = 800_000
-SHARD_BYTES = 1 << 26
-FLUSH_TOKENS = 2_000_000
+MOST_WORDS = 2_000_000
+MOST_BYTES = 1 << 26
+RUN_TOKENS = 3_000_000
+BLOCK_ROWS = 1_000_000
+BITS = 21  # of a word's number, three in a key
 BATCH_BYTES = 2 << 20
 RADIX = 1_024
-BLOCK = 4_096
 MARK = b"."  # between pieces: no word, as it cuts pieces
 # A-Z in lower case, tab as space, what cuts pieces as line feed.
 _TABLE = bytes.maketrans(
@@ -61,35 +64,37 @@ def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
         yield lang, tokens(own)
 
 
-class _Support:
-    """Words and pairs of a task's texts: counts of words, clipped counts of pairs."""
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array, np.ndarray]]:
+    """The texts of a task by language, in runs of about RUN_TOKENS: the distinct words, MARK first, and the
+    place of every word of the texts among them."""
+    langs, held = {}, 0
 
-    def __init__(self, least: int):
-        self.least, self.langs = least, {}
+    def made() -> Iterator[tuple[str, pa.Array, np.ndarray]]:
+        while langs:
+            lang, (numbers, parts) = langs.popitem()
+            yield lang, pa.array(list(numbers), pa.binary()), np.concatenate(parts)
 
-    def add(self, lang: str, found: list[bytes]) -> Iterator[pa.RecordBatch]:
-        numbers, parts = self.langs.get(lang) or self.langs.setdefault(lang, (defaultdict(count().__next__), []))
-        if not parts:
-            numbers[MARK]  # noqa: B018  number 0
-        parts.append(np.fromiter(map(numbers.__getitem__, found), np.int64, len(found)))
-        if sum(map(len, parts)) >= FLUSH_TOKENS:
-            yield from self.flush(lang)
-
-    def flush(self, lang: str) -> Iterator[pa.RecordBatch]:
-        numbers, parts = self.langs.pop(lang)
-        at, words = np.concatenate(parts), pa.array(list(numbers), pa.binary())
+    for batch in batches:
+        for lang, found in _by_lang(batch):
+            if lang not in langs:
+                langs[lang] = defaultdict(count().__next__), []
+                langs[lang][0][MARK]  # noqa: B018  number 0
+            numbers, parts = langs[lang]
+            parts.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
+            held += len(found)
+        if held >= RUN_TOKENS:
+            yield from made()
+            held = 0
+    yield from made()
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of words; the empty phrase has the number of all."""
+    for lang, words, at in _runs(batches):
         sizes = np.bincount(at, minlength=len(words))
-        sizes[0] = 0
-        yield _counted(lang, pa.array([b""], pa.binary()), np.array([sizes.sum()]))  # all words
-        seen = np.flatnonzero(sizes)
-        yield _counted(lang, words.take(pa.array(seen)), sizes[seen])
-        joint = (at[:-1] > 0) & (at[1:] > 0)
-        pairs, sizes = np.unique(at[:-1][joint] * len(words) + at[1:][joint], return_counts=True)
-        for low in range(0, len(pairs), 200_000):
-            first, second = np.divmod(pairs[low:low + 200_000], len(words))
-            phrases = pc.binary_join_element_wise(
-                words.take(pa.array(first)), words.take(pa.array(second)), pa.scalar(b" ", pa.binary()))
-            yield _counted(lang, phrases, np.minimum(sizes[low:low + 200_000], self.least))
+        yield _counted(lang, pa.array([b""], pa.binary()), np.array([sizes[1:].sum()]))
+        for low in range(1, len(words), 200_000):
+            yield _counted(lang, words.slice(low, 200_000), sizes[low:low + 200_000])
 
 
 def _counted(lang: str, phrases: pa.Array, sizes: np.ndarray) -> pa.RecordBatch:
@@ -220,161 +225,191 @@ def _placed(parents: np.ndarray, codes: np.ndarray, low: int) -> tuple[np.ndarra
     return bases + codes, bases, len(used) + RADIX
 
 
-def _trie(rows: DataFrame) -> tuple[Trie, pa.Array]:
-    """Trie and phrases of one shard (id, lang, phrase): bounded, see the module text."""
-    held = rows.select("id", "lang", F.col("phrase").cast("binary").alias("phrase")).toArrow().combine_chunks()
-    phrases = held.column("phrase").to_pylist()
-    book = Trie(held.column("lang").to_pylist(), phrases, held.column("id").to_numpy())
-    return book, pa.array(phrases, pa.binary())
+class Numbered:
+    """The numbered words of a language, from one on, and the blocks that its phrases are dealt to."""
+
+    def __init__(self, words: pa.Array, blocks: int):
+        self.words, self.blocks = words, blocks
+
+    def read(self, words: pa.Array) -> np.ndarray:
+        """Numbers of distinct words, zero for those without."""
+        place = pc.index_in(self.words, value_set=words).fill_null(-1).to_numpy()
+        there = np.flatnonzero(place >= 0)
+        numbers = np.zeros(len(words), np.int64)
+        numbers[place[there]] = there + 1
+        return numbers
+
+    def phrases(self, keys: np.ndarray) -> pa.Array:
+        """The phrases of keys that all have a third word, or none."""
+        parts = [keys >> 2 * BITS, keys >> BITS & (1 << BITS) - 1, keys & (1 << BITS) - 1]
+        if len(keys) and not parts[2][0]:
+            parts.pop()
+        return pc.binary_join_element_wise(
+            *[self.words.take(pa.array(part - 1)) for part in parts], pa.scalar(b" ", pa.binary()))
+
+
+def _packed(keys: np.ndarray, sizes: np.ndarray) -> bytes:
+    """Sorted keys and their counts: differences as byte planes, most of them zero, compressed."""
+    steps = np.diff(keys, prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8)
+    planes = steps.T.tobytes() + sizes.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return pa.compress(planes, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(pa.decompress(data, 12 * rows, "zstd", asbytes=True), np.uint8)
+    steps = np.ascontiguousarray(planes[:8 * rows].reshape(8, rows).T).view("<i8").ravel()
+    sizes = np.ascontiguousarray(planes[8 * rows:].reshape(4, rows).T).view("<i4").ravel()
+    return np.cumsum(steps), sizes.astype(np.int64)
+
+
+def _dealt(book) -> Callable:
+    """Counts of the phrases of numbered words: a row (lang, block, size, data) per run and block."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, words, at in _runs(batches):
+            own = book.value.get(lang)
+            if own is None:
+                continue
+            code = own.read(words)[at]
+            joint = (code[:-1] > 0) & (code[1:] > 0)
+            pairs = code[:-1] << 2 * BITS | code[1:] << BITS
+            triples = (pairs[:-1] | code[2:])[joint[:-1] & (code[2:] > 0)]
+            keys, sizes = np.unique(np.concatenate([pairs[joint], triples]), return_counts=True)
+            block = ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(own.blocks)).astype(np.uint16)
+            order = np.argsort(block, kind="stable")
+            keys, sizes, held = keys[order], sizes[order], np.bincount(block, minlength=own.blocks)
+            ends = np.cumsum(held)
+            rows, weight = [], 0
+            for n in np.flatnonzero(held).tolist():
+                data = _packed(keys[ends[n] - held[n]:ends[n]], sizes[ends[n] - held[n]:ends[n]])
+                rows.append((n, held[n], data))
+                weight += len(data)
+                if weight >= BATCH_BYTES or n == block[order[-1]]:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(rows), pa.string()), *map(pa.array, zip(*rows), (pa.int32(), pa.int64(), pa.binary()))],
+                        names=["lang", "block", "size", "data"])
+                    rows, weight = [], 0
+
+    return find
 
 
-def _third_words(trie, least: int) -> Callable:
-    """Support of the phrases that a third word makes of a trie's pairs."""
+def _summed(book, least: int) -> Callable:
+    """(lang, phrase, n) that reach `least`, of rows sorted by language and block; holds one block."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        book, phrases = trie.value
-        numbers, langs, held = defaultdict(count().__next__), {}, 0
+        now, parts = None, []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            keys, sizes = map(np.concatenate, zip(*parts))
+            order = np.argsort(keys, kind="stable")
+            keys = keys[order]
+            edges = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            return keys[edges], np.add.reduceat(sizes[order], edges)
 
         def flush() -> Iterator[pa.RecordBatch]:
-            words = pa.array(list(numbers), pa.binary())
-            for lang, found in langs.items():
-                codes, sizes = np.unique(np.concatenate(found), return_counts=True)
-                for low in range(0, len(codes), 200_000):
-                    pair, word = codes[low:low + 200_000] >> 32, codes[low:low + 200_000] & 0xFFFFFFFF
-                    joint = pc.binary_join_element_wise(
-                        phrases.take(pa.array(pair)), words.take(pa.array(word)), pa.scalar(b" ", pa.binary()))
-                    yield _counted(lang, joint, np.minimum(sizes[low:low + 200_000], least))
+            keys, sizes = merged()
+            keys, sizes = keys[sizes >= least], sizes[sizes >= least]
+            two = keys & (1 << BITS) - 1 == 0
+            for which in (two, ~two):
+                if which.any():
+                    yield _counted(now[0], book.value[now[0]].phrases(keys[which]), sizes[which])
 
         for batch in batches:
-            for lang, found in _by_lang(batch):
-                symbols = book.read(lang, found)
-                if symbols is None:
-                    continue
-                at, states = book.pairs(symbols)
-                pair = book.accept[states].astype(np.int64) - 1
-                at, pair = at[pair >= 0], pair[pair >= 0]
-                if not len(at):
-                    continue
-                third = [found[n] for n in (at + 2).tolist()]  # a mark ends every batch
-                word = np.fromiter(map(numbers.__getitem__, third), np.int64, len(third))
-                if MARK in numbers:
-                    inside = word != numbers[MARK]
-                    word, pair = word[inside], pair[inside]
-                langs.setdefault(lang, []).append(pair << 32 | word)
-                held += len(word)
-            if held >= FLUSH_TOKENS:
-                yield from flush()
-                numbers, langs, held = defaultdict(count().__next__), {}, 0
-        if held:
+            for lang, block, size, data in zip(*(batch.column(c).to_pylist() for c in ("lang", "block", "size", "data"))):
+                if now != (lang, block):
+                    if parts:
+                        yield from flush()
+                    now, parts, held, after = (lang, block), [], 0, 4 * BLOCK_ROWS
+                parts.append(_unpacked(data, size))
+                held += size
+                if held > after:  # a block of many repeats: their sums take less
+                    parts = [merged()]
+                    held = len(parts[0][0])
+                    after = max(after, 2 * held)
+        if parts:
             yield from flush()
 
     return find
 
 
-def _count(trie) -> Callable:
-    """Counts of a trie's phrases in a task's texts: a row (block, ids, sizes) per BLOCK phrases of it."""
+def _as_text(book) -> Callable:
+    """Counts of the phrases with a word that has no number."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        book, _ = trie.value
-        sizes = np.zeros(len(book.ids) + 1, np.int64)
-        for batch in batches:
-            for lang, found in _by_lang(batch):
-                symbols = book.read(lang, found)
-                if symbols is None:
-                    continue
-                at, states = book.pairs(symbols)
-                sizes += np.bincount(book.accept[states], minlength=len(sizes))
-                _, states = book.advance(at, states, symbols, 2)
-                sizes += np.bincount(book.accept[states], minlength=len(sizes))
-        seen = np.flatnonzero(sizes[1:])
-        blocks, begin = np.unique(seen // BLOCK, return_index=True)
-        offsets = pa.array(np.r_[begin, len(seen)].astype(np.int32))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(blocks), pa.ListArray.from_arrays(offsets, pa.array(book.ids[seen])),
-             pa.ListArray.from_arrays(offsets, pa.array(sizes[1:][seen]))], names=["block", "ids", "sizes"])
+        for lang, words, at in _runs(batches):
+            own = book.value.get(lang)
+            bare = (own.read(words) if own else np.zeros(len(words), np.int64))[at] == 0
+            at = at.astype(np.int64)
+            joint = (at[:-1] > 0) & (at[1:] > 0)
+            pairs, place = np.unique(at[:-1] * len(words) + at[1:], return_inverse=True)
+            two = joint & (bare[:-1] | bare[1:])
+            three = joint[:-1] & joint[1:] & (bare[:-2] | bare[1:-1] | bare[2:])
+            for longer, codes in enumerate((pairs[place[two]], (place[:-1] * len(words) + at[2:])[three])):
+                codes, sizes = np.unique(codes, return_counts=True)
+                for low in range(0, len(codes), 200_000):
+                    head, last = np.divmod(codes[low:low + 200_000], len(words))
+                    heads = np.divmod(pairs[head], len(words)) if longer else [head]
+                    joined = pc.binary_join_element_wise(
+                        *[words.take(pa.array(part)) for part in (*heads, last)], pa.scalar(b" ", pa.binary()))
+                    yield _counted(lang, joined, sizes[low:low + 200_000])
 
     return find
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, n) of rows (block, ids, sizes) sorted by block; holds one block and one batch."""
-    now, ids, n = None, np.empty(0, np.int64), np.empty(0, np.int64)
-    for batch in batches:
-        blocks = batch.column("block").to_numpy()
-        edges = (np.flatnonzero(np.diff(blocks)) + 1).tolist()
-        for low, high in zip([0, *edges], [*edges, len(blocks)] if len(blocks) else []):
-            if now is not None and blocks[low] != now:
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["id", "n"])
-                ids, n = ids[:0], n[:0]
-            now, part = blocks[low], batch.slice(low, high - low)
-            ids, place = np.unique(np.r_[ids, part.column("ids").flatten().to_numpy()], return_inverse=True)
-            more, n = np.r_[n, part.column("sizes").flatten().to_numpy()], np.zeros(len(ids), np.int64)
-            np.add.at(n, place, more)
-    if now is not None:
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["id", "n"])
-
-
-def _shards(candidates: DataFrame, label: str, most: int) -> tuple[DataFrame, int]:
-    """candidates with an id and a shard, saved, and the number of shards."""
-    rows = saved(candidates.withColumn("id", F.monotonically_increasing_id()), label)
-    total = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("phrase")).alias("size")).first()
-    number = max(1, -(-total.n // most), -(-(total.size or 0) // SHARD_BYTES))
-    return rows.withColumn("shard", F.pmod(F.xxhash64("lang", "phrase"), F.lit(number))), number
-
-
-def counts(docs: DataFrame, least: int = MIN_COUNT, most: int = SHARD_PHRASES) -> tuple[DataFrame, DataFrame]:
+def _numbered(words: DataFrame, most: int) -> tuple[dict[str, Numbered], bool]:
+    """The numbered words by language, at most `most` and the most frequent ones, and whether these are all."""
+    held = words.filter("phrase <> ''")
+    step = F.floor(4 * F.log2("n"))
+    steps = held.groupBy(step.alias("step")).agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("phrase")).alias("size")).orderBy(F.desc("step")).collect()
+    number = size = 0
+    kept = []
+    for row in steps:
+        number, size = number + row.n, size + row["size"]
+        if number > most or size > MOST_BYTES:
+            break
+        kept.append(row.step)
+    book = {}
+    if kept:
+        known = held.filter(step >= kept[-1])
+        rows = known.select("lang", F.col("phrase").cast("binary").alias("word")).toArrow().sort_by("lang").combine_chunks()
+        total = dict(words.filter("phrase = ''").join(known.select("lang").distinct(), "lang", "left_semi").select("lang", "n").collect())
+        low, langs = 0, pc.run_end_encode(rows.column("lang").combine_chunks())
+        for lang, high in zip(langs.values.to_pylist(), langs.run_ends.to_pylist()):
+            own = rows.column("word").slice(low, high - low).combine_chunks()
+            book[lang] = Numbered(own, min(-(-2 * total[lang] // BLOCK_ROWS), 1 << 16))
+            low = high
+    return book, len(kept) == len(steps)
+
+
+def counts(docs: DataFrame, least: int = MIN_COUNT, most: int = MOST_WORDS) -> tuple[DataFrame, DataFrame]:
     """Words (lang, phrase, n; the empty phrase has the number of all words) and candidates (lang,
-    phrase, n) of two and three words that stand at least `least` times in a language."""
+    phrase, n) of two and three words that stand at least `least` times in a language; at most `most`
+    words get numbers."""
     spark = docs.sparkSession
     texts = docs.filter("text is not null").select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Support(least)
-        for batch in batches:
-            for lang, found in _by_lang(batch):
-                yield from held.add(lang, found)
-        for lang in list(held.langs):
-            yield from held.flush(lang)
-
     shape = "lang string, phrase string, n long"
 
     def frequent(rows: DataFrame) -> DataFrame:
         return rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(
             (F.col("n") >= least) | (F.col("phrase") == ""))
 
-    def passed(find: Callable, into: str, label: str, summed: Callable) -> DataFrame:
-        with arrow_batches(spark, 2_000, BATCH_BYTES):
-            return saved(summed(texts.mapInArrow(find, into)), label)
-
-    level = passed(first, shape, "phrases-1-2", frequent)
-    single = F.instr("phrase", " ") == 0
-    words = level.filter(single)
-    pairs, number = _shards(level.filter(~single).select("lang", "phrase"), "phrases-2", most)
-    found = []
-    for shard in range(number):
-        sent = spark.sparkContext.broadcast(_trie(pairs.filter(F.col("shard") == shard)))
-        found.append(passed(_third_words(sent, least), shape, "phrases-3", frequent))
-        sent.destroy()
-    triples = found[0]
-    for more in found[1:]:  # a pair stands in one shard, so a phrase of three does
-        triples = triples.unionByName(more)
-    both, number = _shards(
-        pairs.select("lang", "phrase").unionByName(triples.select("lang", "phrase")), "phrases-2-3", most)
-    found = []
-    for shard in range(number):
-        sent = spark.sparkContext.broadcast(_trie(both.filter(F.col("shard") == shard)))
-        found.append(passed(
-            _count(sent), "block long, ids array<long>, sizes array<long>", "phrase-counts",
-            lambda rows: rows.repartition("block").sortWithinPartitions("block").mapInArrow(_summed, "id long, n long")))
+    with arrow_batches(spark, 2_000, BATCH_BYTES):
+        words = saved(frequent(texts.mapInArrow(_words, shape)), "words")
+        book, whole = _numbered(words, min(most, (1 << BITS) - 1))
+        sent = spark.sparkContext.broadcast(book)
+        dealt = texts.mapInArrow(_dealt(sent), "lang string, block int, size long, data binary")
+        phrases = saved(
+            dealt.repartition("lang", "block").sortWithinPartitions("lang", "block").mapInArrow(
+                _summed(sent, least), shape), "phrases")
+        if not whole:
+            phrases = phrases.unionByName(saved(frequent(texts.mapInArrow(_as_text(sent), shape)), "phrases-as-text"))
         sent.destroy()
-    summed = found[0]
-    for more in found[1:]:
-        summed = summed.unionByName(more)
-    return words, both.join(summed, "id").select("lang", "phrase", "n")
+    return words, phrases
 
 
-def collocations(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP, most: int = SHARD_PHRASES) -> DataFrame:
+def collocations(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP, most: int = MOST_WORDS) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the first `top` phrases of every language of docs (lang, text).
 
     Texts are lower-cased (A-Z), cut at `[.,;:!?\\x0A-\\x0D]`, then at spaces and tabs. a, l and r are the

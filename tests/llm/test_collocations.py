@@ -88,3 +88,52 @@ def test_trie_holds_its_phrases_and_no_other():
         want.update(p for i in range(len(found)) if (p := b" ".join(found[i:i + k])) in known)
     assert got == want and len(book.base) < 4 * len(phrases) + 8_000
     assert book.read("fr", found) is None
+
+
+def test_passes_over_the_texts_do_not_grow_with_the_phrases(spark):
+    random.seed(3)
+    rows = [("en", " ".join(random.choices([f"w{n}" for n in range(30)], k=60))) for _ in range(200)]
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        read.add(1)
+        return text
+
+    texts = counted.asNondeterministic()(F.col("text")).alias("text")
+    docs = spark.createDataFrame(rows, "lang string, text string").select("lang", texts)
+    for most in (10, 1_000_000):
+        before = read.value
+        assert listed(collocations.collocations(docs, least=3, most=most)) == slow(rows, 3)
+        assert read.value - before <= 3 * len(rows)
+
+
+def test_blocks_of_many_runs(monkeypatch):
+    """Runs dealt into blocks and summed give the counts of all phrases of numbered words."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(collocations, "RUN_TOKENS", 500)
+    monkeypatch.setattr(collocations, "BLOCK_ROWS", 40)
+    random.seed(4)
+    names = [f"w{n}".encode() for n in range(40)]
+    texts = [b" ".join(random.choices(names, [1 / (n + 1) for n in range(40)], k=random.randrange(30))) for _ in range(400)]
+    texts += [b"w0 w1 " * 300]
+    batches = [pa.RecordBatch.from_pydict({"lang": ["en"] * len(part), "text": [t.decode() for t in part]})
+               for part in (texts[:150], texts[150:160], texts[160:])]
+
+    class Sent:
+        value = {"en": collocations.Numbered(pa.array(names[:25], pa.binary()), 7)}
+
+    dealt = pa.Table.from_batches(collocations._dealt(Sent)(iter(batches))).sort_by([("lang", "ascending"), ("block", "ascending")])
+    assert len(set(dealt["block"].to_pylist())) == 7 and dealt.num_rows >= 14
+    got, want = Counter(), Counter()
+    for part in collocations._summed(Sent, 5)(dealt.to_batches(3)):
+        for phrase, n in zip(part["phrase"].to_pylist(), part["n"].to_pylist()):
+            assert phrase not in got
+            got[phrase] = n
+    known = set(names[:25])
+    for text in texts:
+        words = text.split()
+        for k in (2, 3):
+            want.update(b" ".join(words[i:i + k]).decode() for i in range(len(words) - k + 1) if known.issuperset(words[i:i + k]))
+    assert got == {phrase: n for phrase, n in want.items() if n >= 5}
