@@ -3,10 +3,12 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from fichario.catalog import inputs
 from fichario.catalog.inputs import Inputs
 from fichario.catalog.queries import QUERIES
+from fichario.functions.text import held
 from fichario.operators import by_root, sites
 
 FOLDER = "/root/testdata/sf0.001"
@@ -185,3 +187,21 @@ def test_a_hot_root_is_followed_with_the_same_rows(spark):
         found.append(sorted(map(tuple, table.select("cnpj_basico", "id", "nome_socio_razao_social").collect())))
     assert found[0] and found[0] == found[1] == found[2]
     assert len({row[1] for row in found[0]}) == len(found[0]) and all(row[0] == row[0].strip() for row in found[0])
+
+
+def test_candidate_urls_and_reasons_are_listed_by_compiled_code(spark):
+    """A filter of an array is evaluated case by case, without compiled code, for every row."""
+    from fichario.plans import enrich
+
+    i = Inputs(spark, FOLDER)
+    rows = i.candidates_by_branch.select(
+        "*", *[F.lit("x").alias(c) for c in ("site_url", "site_source", "email_dominio", "email_tipo")],
+        F.lit(1).alias("domain_shared_count"))
+    for made in (sites.site_candidates(rows), enrich.match_sites(rows, i.facts)):
+        assert "lambdafunction" not in _plan(made)
+
+
+def test_held_lists_what_holds_in_order(spark):
+    rows = spark.createDataFrame([(1, "a"), (5, "b"), (None, None)], "n int, t string")
+    got = rows.select(held((F.col("n") > 0, F.col("t")), (F.col("n") > 3, F.lit("big")), (F.col("n").isNull(), F.lit("none"))).alias("x"))
+    assert [r.x for r in got.collect()] == [["a"], ["b", "big"], ["none"]]
